@@ -1,0 +1,7 @@
+"""Named queries over the driver's tables, and the SQL that each must equal."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+FLAGSHIP = "topic_index"
