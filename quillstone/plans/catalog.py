@@ -2,6 +2,434 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
-FLAGSHIP = "topic_index"
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillstone.functions import text as T
+from quillstone.operators import folds, incremental, reports, resolve, similarity, topics, units, verdicts
+from quillstone.plans.bridge import MAPPING, ORDER, judgments, known, markdown, table, topic_units, vectors
+from quillstone.plans.bridge import units as corpus_units
+from quillstone.plans.oracles import ORACLE_SQL as _SQL
+from quillstone.sources.files import corpus_tasks
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+FLAGSHIP = "topic_summary_after_dedup"
+PLACE = ["file_name", "part", "unit_pos"]
+
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+
+
+# --- units and topics
+
+
+@query
+def unit_parse(spark, sf_dir):
+    return corpus_units(spark, sf_dir).drop("body")
+
+
+@query
+def unit_fingerprint(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.fingerprint(F.col("text")).alias("fingerprint"))
+
+
+@query
+def exact_dedup(spark, sf_dir):
+    fp = _docs(spark, sf_dir).select("doc_id", T.fingerprint(F.col("text")).alias("fingerprint"))
+    return fp.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+
+
+@query
+def topic_mapping(spark, sf_dir):
+    return topics.apply_mapping(corpus_units(spark, sf_dir), topics.mapping_table(spark, MAPPING)).select("part", "tag", "topic")
+
+
+@query
+def unmapped_tags(spark, sf_dir):
+    return topics.unmapped_tags(corpus_units(spark, sf_dir), topics.mapping_table(spark, MAPPING))
+
+
+@query
+def topic_index(spark, sf_dir):
+    return topics.topic_index(topic_units(spark, sf_dir), MAPPING)
+
+
+@query
+def topic_stats(spark, sf_dir):
+    return topics.topic_stats(topic_units(spark, sf_dir))
+
+
+@query
+def topic_fingerprints(spark, sf_dir):
+    return topics.topic_fingerprints(topic_units(spark, sf_dir))
+
+
+@query
+def priority_order(spark, sf_dir):
+    return units.numbered(topic_units(spark, sf_dir).select("topic", *ORDER), ["topic"], ORDER, "rank").select("topic", "part", "rank")
+
+
+@query
+def scan_units(spark, sf_dir):
+    text = F.concat(F.lit("# head\n## one "), F.col("conv_id").cast("string"), F.lit("\na\n### sub\n## #x\nb\n"))
+    files = table(spark, sf_dir, "conversations").select("conv_id").distinct().select("conv_id", text.alias("text"))
+    return units.scan_units(files, "conv_id").withColumnRenamed("file_name", "conv_id")
+
+
+@query
+def split_topics(spark, sf_dir):
+    text = F.concat(F.lit("\n# one "), F.col("turn").cast("string"), F.lit("\nx\n# \n# a/b\ny\n"))
+    text = F.regexp_replace(text, "\n# \n", "\n# " + "\n")
+    src = table(spark, sf_dir, "conversations").select("conv_id", "turn", text.alias("text")).withColumn("key", F.struct("conv_id", "turn"))
+    out = units.split_topics(src, "key", "text").where("content <> '#'")
+    return out.select("key.conv_id", "key.turn", "file_name", "content")
+
+
+# --- similarity
+
+
+@query
+def shingle_counts(spark, sf_dir):
+    return similarity.with_grams(corpus_units(spark, sf_dir).select("part", "body")).select("part", F.col("size").cast("long").alias("grams"))
+
+
+def _for_pairs(spark, sf_dir):
+    return topic_units(spark, sf_dir).select("topic", "is_new", "body", *ORDER)
+
+
+@query
+def jaccard_intra_new_new(spark, sf_dir):
+    return similarity.jaccard_intra(_for_pairs(spark, sf_dir), 0.7, ORDER, similarity.new_new(), key="part").withColumn("sim", F.round("sim", 9))
+
+
+@query
+def jaccard_intra_new_old(spark, sf_dir):
+    return similarity.jaccard_intra(_for_pairs(spark, sf_dir), 0.7, ORDER, similarity.new_old(), key="part").withColumn("sim", F.round("sim", 9))
+
+
+@query
+def jaccard_cross_topic(spark, sf_dir):
+    return similarity.jaccard_cross(_for_pairs(spark, sf_dir), 0.2, ORDER, PLACE, key="part").withColumn("sim", F.round("sim", 9))
+
+
+@query
+def cross_topic_topk(spark, sf_dir):
+    u = _for_pairs(spark, sf_dir)
+    pairs = similarity.jaccard_cross(u, 0.2, ORDER, PLACE, key="part")
+    body = u.select("part", "body")
+    pairs = pairs.join(body.select(F.col("part").alias("a"), F.col("body").alias("a_body")), "a").join(body.select(F.col("part").alias("b"), F.col("body").alias("b_body")), "b")
+    return reports.cross_topic_report(pairs).withColumn("sim", F.round("sim", 9))
+
+
+@query
+def cosine_intra(spark, sf_dir):
+    return similarity.cosine_intra(vectors(spark, sf_dir), 0.3, "vec_id", "label", "embedding", blocks=4).withColumn("sim", F.round("sim", 6))
+
+
+@query
+def cosine_cross(spark, sf_dir):
+    return similarity.cosine_cross(vectors(spark, sf_dir), 0.3, "vec_id", "label", "embedding").withColumn("sim", F.round("sim", 6))
+
+
+@query
+def comparison_counts(spark, sf_dir):
+    return similarity.comparison_counts(topic_units(spark, sf_dir))
+
+
+# --- verdicts and resolution
+
+
+def _cosine_pairs(spark, sf_dir):
+    return similarity.cosine_intra(vectors(spark, sf_dir), 0.3, "vec_id", "label", "embedding", blocks=4)
+
+
+@query
+def verdict_batches(spark, sf_dir):
+    return verdicts.batches(_cosine_pairs(spark, sf_dir), 8, ["a", "b"], ["topic"]).select("topic", "batch", "slot", "a", "b")
+
+
+def _neighbours(spark, sf_dir):
+    u = topic_units(spark, sf_dir).select("topic", "part", "priority", "tag", "title", "body")
+    a = u.select("topic", "part", *[F.col(c).alias(f"a_{c}") for c in ("priority", "tag", "title", "body")])
+    b = u.select("topic", (F.col("part") - 1).alias("part"), *[F.col(c).alias(f"b_{c}") for c in ("priority", "tag", "title", "body")])
+    return a.join(b, ["topic", "part"]).withColumn("sim", F.lit(0.725))
+
+
+@query
+def verdict_prompts(spark, sf_dir):
+    numbered = verdicts.batches(_neighbours(spark, sf_dir), 8, ["part"], ["topic"])
+    out = verdicts.verdict_prompts(numbered, ["topic"])
+    lines = F.substring("prompt", len(verdicts.VERDICT_HEAD) + 2, 1 << 30)
+    return out.select("topic", "batch", "num_pairs", F.sha2(lines, 256).alias("lines"))
+
+
+@query
+def merge_prompts(spark, sf_dir):
+    return _neighbours(spark, sf_dir).select("part", F.sha2(verdicts.merge_prompt(), 256).alias("prompt"))
+
+
+@query
+def parse_verdicts(spark, sf_dir):
+    parts = [F.lit("1|KEEP_BOTH\n2:DUPLICATE:b\n 3\tMERGE\nnote: 4|MERGE\n"), (F.col("doc_id") % 6).cast("string"), F.lit("|dup of it|A\n9|MERGE\n4")]
+    answers = table(spark, sf_dir, "documents").select("doc_id", F.concat(*parts).alias("raw"), F.lit(4).alias("num_pairs"))
+    return verdicts.parse_verdicts(answers, "doc_id", "raw", "num_pairs")
+
+
+@query
+def judgments_by_rule(spark, sf_dir):
+    p = _cosine_pairs(spark, sf_dir).withColumn("a_priority", F.col("a") % 3).withColumn("b_priority", F.col("b") % 3)
+    p = p.withColumn("a_body", F.col("a").cast("string")).withColumn("b_body", F.col("b").cast("string"))
+    judged = verdicts.rule_judge(p, 0.45, 0.35).withColumn("a", F.col("a").cast("string")).withColumn("b", F.col("b").cast("string"))
+    return verdicts.to_judgments(judged)
+
+
+@query
+def verdict_histogram(spark, sf_dir):
+    return verdicts.histogram(judgments(spark, sf_dir))
+
+
+def _resolved(spark, sf_dir, rule):
+    u = topic_units(spark, sf_dir).drop("is_new")
+    out = rule(u, judgments(spark, sf_dir), ["tag_first", *PLACE])
+    return out.select("part", "topic", "tag", "priority", "title", "fingerprint")
+
+
+@query
+def resolve_reference(spark, sf_dir):
+    return _resolved(spark, sf_dir, resolve.resolve_reference)
+
+
+@query
+def resolve_safe(spark, sf_dir):
+    return _resolved(spark, sf_dir, resolve.resolve_safe)
+
+
+@query
+def topic_summary_after_dedup(spark, sf_dir):
+    return resolve_reference(spark, sf_dir).groupBy("topic").agg(F.count("*").alias("units"), F.count_if(F.col("priority") == 0).alias("p0"))
+
+
+# --- packing
+
+
+def _items(spark, sf_dir):
+    name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.payload_kb(name, F.col("text")).alias("size_kb"))
+
+
+@query
+def payload_size(spark, sf_dir):
+    return _items(spark, sf_dir).withColumn("size_kb", F.round("size_kb", 9))
+
+
+@query
+def batch_packing(spark, sf_dir):
+    limit = T.effective_limit_kb(200, "openai", {"gemini": 100, "claude": 200, "openai": 150})
+    return folds.assign_batches(_items(spark, sf_dir), 50, limit, ["size_kb", "doc_id"]).select("doc_id", "batch")
+
+
+@query
+def volume_packing(spark, sf_dir):
+    u = topic_units(spark, sf_dir).select("topic", "body", *ORDER)
+    sized = u.withColumn("bytes", F.octet_length("body").cast("long")).drop("body").withColumn("tag_first", F.col("tag_first.part"))
+    out = folds.assign_volumes(sized, 100 * 1024, ORDER)
+    base = T.safe_filename(F.col("topic"))
+    file = F.when(F.col("volume") == 1, F.concat(base, F.lit(".md"))).otherwise(F.concat(base, F.lit("-"), F.lpad(F.col("volume").cast("string"), 3, "0"), F.lit(".md")))
+    return out.select("topic", "part", "volume", file.alias("file"))
+
+
+@query
+def split_large(spark, sf_dir):
+    return folds.split_large(table(spark, sf_dir, "documents"), "doc_id", "text", 4)
+
+
+@query
+def corpus_plan(spark, sf_dir):
+    """Tasks of the extraction: whole files and chunks."""
+    name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    files = _docs(spark, sf_dir).select(name.alias("source_name"), "text", (F.octet_length("text") / F.lit(1024.0)).alias("size_kb"))
+    return corpus_tasks(files, 17.0).withColumn("size_kb", F.round("size_kb", 6))
+
+
+@query
+def merge_reduce(spark, sf_dir):
+    """Rounds of joining neighbouring answers of one conversation while two stay in the limit."""
+    parts = table(spark, sf_dir, "conversations").where("role = 'assistant'").select("conv_id", "turn", (F.octet_length(F.coalesce("text", F.lit(""))) / F.lit(1024.0)).alias("kb"))
+    return folds.merge_reduce(parts, "conv_id", ["turn"], "kb", 1.0)
+
+
+# --- names, fences, urls, answers
+
+
+@query
+def batch_names(spark, sf_dir):
+    name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    d = table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 8).cast("long").alias("batch"), name.alias("name"))
+    return d.groupBy("batch").agg(T.batch_name(F.collect_list("name")).alias("name"))
+
+
+@query
+def safe_filename(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", T.safe_filename(F.col("url")).alias("name"))
+
+
+@query
+def strip_fences(spark, sf_dir):
+    mark = F.when(F.col("turn") % 3 == 0, "```markdown").when(F.col("turn") % 3 == 1, "```python").otherwise("```")
+    wrapped = F.concat(F.lit(" "), mark, F.lit("\n"), T.strip(F.col("text")), F.lit("\n```\n"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", T.strip_fences(wrapped).alias("text"))
+
+
+@query
+def end_marker_join(spark, sf_dir):
+    parts = F.array_sort(F.collect_list(F.struct("turn", F.concat("text", F.lit(T.END_MARKER)).alias("x"))))
+    said = table(spark, sf_dir, "conversations").where("role = 'assistant'")
+    return said.groupBy("conv_id").agg(T.join_continuation(F.transform(parts, lambda p: p["x"])).alias("text"))
+
+
+@query
+def json_repair(spark, sf_dir):
+    turn = F.col("turn").cast("string")
+    raw = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("Result: [1, "), turn, F.lit("] done"))).when(F.col("turn") % 3 == 1, F.concat(F.lit('```\n{"a": '), turn, F.lit("}\n```"))).otherwise(F.concat(F.lit("none "), turn))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", T.json_repair(raw).alias("json"))
+
+
+@query
+def url_sanitize(spark, sf_dir):
+    sep = F.when(F.col("url").contains("?"), "&").otherwise("?")
+    url = F.concat("url", sep, F.lit("api_key=k"), F.col("page_id").cast("string"), F.lit("&x=1&Token=t"))
+    return table(spark, sf_dir, "pages").select("page_id", T.sanitize_url(url).alias("url"))
+
+
+_FAILURES = [
+    ("ConnectionResetError", None, "reset by peer", None),
+    ("HTTPError", 504, "gateway", None),
+    ("PipelineError", None, "状态码 429", None),
+    ("HTTPError", 502, "bad gateway", None),
+    ("HTTPError", 403, "forbidden", None),
+    ("PipelineError", None, "Content is null", None),
+    ("PipelineError", None, "JSON 解析失败", None),
+    ("PipelineError", None, "max_tokens reached", None),
+    ("OSError", None, "DNS failure", None),
+    ("URLError", None, "urlopen", "Connection refused"),
+    ("OSError", None, "Broken pipe while writing", None),
+    ("ValueError", None, "odd", None),
+]
+
+
+@query
+def error_classes(spark, sf_dir):
+    kinds = spark.createDataFrame([(k, *f) for k, f in enumerate(_FAILURES)], "k int, kind string, code int, message string, reason string")
+    e = table(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 12).cast("int").alias("k")).join(kinds, "k")
+    return e.select("event_id", T.error_class(F.col("kind"), F.col("code"), F.col("message"), F.col("reason")).alias("label"))
+
+
+@query
+def exec_log_summary(spark, sf_dir):
+    status = F.when(F.col("event_id") % 7 == 0, "error").when(F.col("event_id") % 11 == 0, "skip").otherwise("ok")
+    e = table(spark, sf_dir, "events").select(status.alias("status"), (F.col("event_id") % 100).cast("double").alias("duration_s"))
+    return reports.run_log(e)
+
+
+@query
+def qa_pairs(spark, sf_dir):
+    return reports.question_pairs(table(spark, sf_dir, "conversations"))
+
+
+@query
+def denoise_lines(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", F.sha2(T.distinct_lines(F.col("text")), 256).alias("text"))
+
+
+@query
+def drop_timestamps(spark, sf_dir):
+    stamped = F.concat(F.lit("[00:01:02] "), F.col("text"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", T.drop_timestamps(stamped).alias("text"))
+
+
+@query
+def drop_fillers(spark, sf_dir):
+    said = F.concat(F.lit("Umm, um "), F.col("text"), F.lit(" um so."))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", T.drop_fillers(said, ["um", "umm", "uh"]).alias("text"))
+
+
+@query
+def correct_terms(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", F.sha2(T.correct_terms(F.col("text"), {"the": "THE", "THEr": "there"}), 256).alias("text"))
+
+
+# --- incremental state
+
+
+@query
+def new_units(spark, sf_dir):
+    return incremental.new_units(corpus_units(spark, sf_dir), known(spark, sf_dir)).select("part", "fingerprint")
+
+
+@query
+def changelog_by_topic(spark, sf_dir):
+    return reports.changelog_counts(incremental.new_units(topic_units(spark, sf_dir), known(spark, sf_dir)))
+
+
+@query
+def changelog_lines(spark, sf_dir):
+    u = topic_units(spark, sf_dir)
+    files = u.select("fingerprint", F.concat("topic", F.lit(".md")).alias("file"))
+    return reports.changelog(incremental.new_units(u, known(spark, sf_dir)), files, []).select("topic", "fingerprint", "line")
+
+
+@query
+def manifest_resume(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id")
+    return incremental.pending(d, d.where("doc_id % 3 = 0"), "doc_id")
+
+
+@query
+def changed_topics(spark, sf_dir):
+    now = topics.topic_fingerprints(topic_units(spark, sf_dir))
+    before = now.withColumn("fingerprint", F.when(F.col("topic") == "latin", F.col("fingerprint")).otherwise(F.lit("old")))
+    return incremental.changed_topics(now, before).select("topic")
+
+
+@query
+def cache_upsert(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id")
+    return incremental.upsert(d.withColumn("value", F.lit("old")), d.where("doc_id % 2 = 0").withColumn("value", F.lit("new")), "doc_id")
+
+
+@query
+def best_cached(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id")
+
+    def sets(shift: int) -> DataFrame:
+        return d.groupBy(F.floor((F.col("doc_id") + shift) / 10).cast("long").alias("name")).agg(F.collect_list("doc_id").alias("fps"))
+
+    return incremental.best_cached(sets(0), sets(3)).withColumn("overlap", F.round("overlap", 9))
+
+
+@query
+def model_extract_fake(spark, sf_dir):
+    """Extraction with an answerer that returns the document as one unit: prompts, calls, fences, parsing."""
+    from quillstone.model.runner import ask, single_prompt
+
+    name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"))
+    d = table(spark, sf_dir, "documents").withColumn("prompt", single_prompt(name, markdown()))
+
+    def build():
+        return lambda prompt: "```markdown\n" + prompt.split("\n\n", 1)[1] + "\n```"
+
+    answers = ask(d, "doc_id", "prompt", build)
+    return units.parse_units(answers.select("doc_id", T.strip_fences(F.col("answer")).alias("text")), "doc_id").select(F.col("file_name").alias("doc_id"), "tag", "priority", "title", "fingerprint")
+
+
+_RENAMED = {"judgments_by_rule": "judgments"}
+ORACLE_SQL = {name: _SQL[_RENAMED.get(name, name)] for name in QUERIES if _RENAMED.get(name, name) in _SQL}
