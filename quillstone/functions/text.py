@@ -158,7 +158,8 @@ def json_repair(c: Column) -> Column:
     """The first text of these that parses as JSON: the unfenced whole, its [...] part, its {...} part; else null."""
     s = strip_fences(c)
     tries = [s, F.regexp_extract(s, r"(?s)(\[.*\])", 1), F.regexp_extract(s, r"(?s)(\{.*\})", 1)]
-    return F.coalesce(*[F.when((t != "") & F.try_parse_json(t).isNotNull(), t) for t in tries])
+    # inside brackets, text after a value is an error; the parser alone would pass over it
+    return F.coalesce(*[F.when((t != "") & (F.json_array_length(F.concat(F.lit("["), t, F.lit("]"))) == 1) & F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))).isNotNull(), t) for t in tries])
 
 
 #: Error labels, fixed values.

@@ -118,13 +118,13 @@ def jaccard_intra_new_old(spark, sf_dir):
 
 @query
 def jaccard_cross_topic(spark, sf_dir):
-    return similarity.jaccard_cross(_for_pairs(spark, sf_dir), 0.2, ORDER, PLACE, key="part").withColumn("sim", F.round("sim", 9))
+    return similarity.jaccard_cross(_for_pairs(spark, sf_dir), 0.1, ORDER, PLACE, key="part").withColumn("sim", F.round("sim", 9))
 
 
 @query
 def cross_topic_topk(spark, sf_dir):
     u = _for_pairs(spark, sf_dir)
-    pairs = similarity.jaccard_cross(u, 0.2, ORDER, PLACE, key="part")
+    pairs = similarity.jaccard_cross(u, 0.1, ORDER, PLACE, key="part")
     body = u.select("part", "body")
     pairs = pairs.join(body.select(F.col("part").alias("a"), F.col("body").alias("a_body")), "a").join(body.select(F.col("part").alias("b"), F.col("body").alias("b_body")), "b")
     return reports.cross_topic_report(pairs).withColumn("sim", F.round("sim", 9))

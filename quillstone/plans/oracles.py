@@ -50,7 +50,7 @@ p AS (
   SELECT a.topic AS topic_a, b.topic AS topic_b, a.part AS a, b.part AS b, count(*) AS hits, any_value(a.n) AS na, any_value(b.n) AS nb
   FROM k a JOIN k b ON a.seen < b.seen AND a.gram = b.gram GROUP BY 1, 2, 3, 4
 ),
-cp AS (SELECT topic_a, topic_b, a, b, hits / (na + nb - hits) AS sim FROM p WHERE hits / (na + nb - hits) >= 0.2)"""
+cp AS MATERIALIZED (SELECT topic_a, topic_b, a, b, hits / (na + nb - hits) AS sim FROM p WHERE hits / (na + nb - hits) >= 0.1)"""
 
 VECTORS = """
 v AS (SELECT vec_id, label, is_new, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM

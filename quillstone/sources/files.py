@@ -79,7 +79,7 @@ def read_corpus(spark: SparkSession, root: str, exclude: str | None = None, orde
 
 def read_extracts(spark: SparkSession, root: str) -> DataFrame:
     """(file_name, text) of a folder's .md files, line ends made \\n; units sort by lower-cased name."""
-    df = spark.read.option("wholetext", True).option("pathGlobFilter", "*.md").text(root)
+    df = spark.read.option("pathGlobFilter", "*.md").text(root, wholetext=True)
     return df.select(F.lower(F.col("_metadata.file_name")).alias("file_name"), F.regexp_replace("value", "\r\n?", "\n").alias("text"))
 
 

@@ -11,7 +11,7 @@ from quillstone.operators.units import parse_units
 
 def watch_extracts(spark: SparkSession, folder: str) -> DataFrame:
     """A stream of (file_name, text) of new .md files."""
-    df = spark.readStream.option("wholetext", True).option("pathGlobFilter", "*.md").text(folder)
+    df = spark.readStream.option("pathGlobFilter", "*.md").text(folder, wholetext=True)
     return df.select(F.lower(F.col("_metadata.file_name")).alias("file_name"), F.regexp_replace("value", "\r\n?", "\n").alias("text"))
 
 
