@@ -107,11 +107,9 @@ def clean_for_ngrams(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"[#*\-|>\[\](){}]", ""), f"{SPACE}+", "")
 
 
-def ngrams(chars: Column, n: int) -> Column:
-    """Distinct n-grams of a character array; none if it is shorter than n."""
-    starts = F.sequence(F.lit(0), F.greatest(F.size(chars) - n, F.lit(0)))
-    gram = F.transform(starts, lambda i: F.concat(*[F.get(chars, i + k) for k in range(n)]))
-    return F.when(F.size(chars) >= n, F.array_distinct(gram)).otherwise(F.array().cast("array<string>"))
+def ngrams(c: Column, n: int) -> Column:
+    """Distinct character n-grams of a text, in one pass of a looking-ahead pattern; none if it is shorter than n."""
+    return F.array_distinct(F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))"), 1))
 
 
 def jaccard(a: Column, b: Column) -> Column:

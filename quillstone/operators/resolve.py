@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.functions import text as T
+from quillstone.operators.barrier import settled
 
 
 def _merges(judgments: DataFrame) -> DataFrame:
@@ -43,17 +44,15 @@ def resolve_reference(units: DataFrame, judgments: DataFrame, order: list[str])
 def smallest_reachable(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """(fp, root) over edges (a, b): the smallest fingerprint reachable, by repeated minimum and jump.
 
-    Lineage is cut by reliable checkpoints (the folder of spark.checkpoint.dir).
+    Lineage is cut each round.
     """
-    spark = edges.sparkSession
-    _checkpoint_dir(spark)
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    label = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")).withColumnRenamed("a", "fp").checkpoint()
+    both = settled(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    label = settled(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")).withColumnRenamed("a", "fp"))
     for _ in range(rounds):
         near = both.join(label, both["b"] == label["fp"]).groupBy("a").agg(F.min("root").alias("near"))
         step = label.join(near, label["fp"] == near["a"]).select("fp", F.least("root", "near").alias("root"))
         jump = step.select(F.col("fp").alias("root"), F.col("root").alias("top"))
-        now = step.join(jump, "root").select("fp", F.col("top").alias("root")).checkpoint()
+        now = settled(step.join(jump, "root").select("fp", F.col("top").alias("root")))
         moved = now.join(label.withColumnRenamed("root", "was"), "fp").where("root <> was").isEmpty()
         label = now
         if moved:
@@ -61,17 +60,6 @@ def smallest_reachable(edges: DataFrame, rounds: int = 50) -> DataFrame:
     return label
 
 
-def _checkpoint_dir(spark) -> None:
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        import atexit
-        import shutil
-        import tempfile
-
-        own = tempfile.mkdtemp(prefix="quillstone-")
-        atexit.register(shutil.rmtree, own, ignore_errors=True)
-        spark.sparkContext.setCheckpointDir(own)
-
-
 def resolve_safe(units: DataFrame, judgments: DataFrame, order: list[str]) -> DataFrame:
     """One survivor a connected component of DUPLICATE and MERGE judgments, so no content vanishes in chains.
 
