@@ -10,51 +10,73 @@ which need no padding. Blocks lie within input partitions: no shuffle, no state
 
 from __future__ import annotations
 
+import json
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from quillstone.llm.automaton import byte_letters
 
-MEMO = 400_000
 #: Remainder bytes held before a block is packed.
 BLOCK_BYTES = 32 << 20
-#: Texts whose blanks can't be cut singly, or that hold a special token: the library takes them whole.
-WHOLE = re.compile(r"\s\s|^\s|\s$|[^\S \n\t\r]|<\|")
+# Word pattern of the byte-level files, and how such a file names it; fixed values.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 
 
 class ByteBpe:
-    """Little-endian uint32 ids of a text, by the tokenizers library, one memo entry a blank-separated word."""
-
-    def __init__(self, spec: str):
-        from tokenizers import Tokenizer
+    """Little-endian uint32 ids of texts, as the tokenizers library gives them for a byte-level BPE file.
 
-        self.tok = Tokenizer.from_str(spec)
-        self.tok.no_truncation()
-        self.tok.no_padding()
-        self.memo: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        ids = self.tok.encode(text, add_special_tokens=False).ids
-        return b"".join([i.to_bytes(4, "little") for i in ids])
+    The file's vocabulary is read as ranks, for the other library, which gives the same ids several times
+    faster; that needs ids in merge order. A file that is otherwise goes to the tokenizers library itself.
+    """
 
-    def _new(self, word: str) -> bytes:
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
-        self.memo[word] = out = self._whole(" " + word)
-        return out
+    def __init__(self, spec: str):
+        d = json.loads(spec)
+        m = d["model"]
+        self.special = {x["content"]: x["id"] for x in d["added_tokens"]}
+        self.cut = re.compile("(" + "|".join(re.escape(x) for x in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
+        joined = [m["vocab"]["".join(x) if isinstance(x, list) else x.replace(" ", "")] for x in m["merges"]]
+        if d["pre_tokenizer"] == BYTE_LEVEL and d["normalizer"] is None and joined == sorted(joined) and joined[0] == 256:
+            value = {c: i for i, c in enumerate(byte_letters())}
+            ranks = {bytes([value[c] for c in t]): i for t, i in m["vocab"].items()}
+            self.ordinary = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        else:
+            tok = Tokenizer.from_str(spec)
+            tok.no_truncation()
+            tok.no_padding()
+            self.cut, self.ordinary = None, lambda text: tok.encode(text, add_special_tokens=False).ids
 
     def encode(self, text: str | None) -> bytes:
+        """Ids of a whole text; null is empty. A special token's string in a text is that token."""
         if not text:
             return b""
-        if WHOLE.search(text):
-            return self._whole(text)
-        first, *rest = text.split(" ")
-        memo, new = self.memo, self._new
-        return self._whole(first) + b"".join([memo.get(w) or new(w) for w in rest])
+        if self.cut is None or not self.cut.search(text):
+            return array("I", self.ordinary(text)).tobytes()
+        ids: list[int] = []
+        for piece in self.cut.split(text):
+            ids += [self.special[piece]] if piece in self.special else self.ordinary(piece)
+        return array("I", ids).tobytes()
+
+
+_kept: dict[int, ByteBpe] = {}
+
+
+def byte_bpe(spec: str) -> ByteBpe:
+    """The worker's encoder; tasks of one worker share it."""
+    key = hash(spec)
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = ByteBpe(spec)
+    return _kept[key]
 
 
 def fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -188,7 +210,7 @@ def pack_documents(df: DataFrame, tokenizer_json: str, capacity: int = 2048, end
     names = ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches):
-        bpe, packer, kind = ByteBpe(spec.value), Packer(capacity, TaskContext.get().partitionId() << 40), None
+        bpe, packer, kind = byte_bpe(spec.value), Packer(capacity, TaskContext.get().partitionId() << 40), None
 
         def rows(pieces):
             doc, start, ids, total, seq, off = zip(*pieces, strict=True)
