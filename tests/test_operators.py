@@ -72,7 +72,7 @@ def test_merge_adjacent():
     assert folds.merge_adjacent([], 1) == []
 
 
-def test_jaccard_prefix_filter_is_exact(spark):
+def test_jaccard_blocks_are_exact(spark):
     rng = random.Random(3)
     base = ["".join(rng.choice("abcdefg") for _ in range(60)) for _ in range(12)]
     rows = []
