@@ -124,7 +124,7 @@ def views_of(df: DataFrame, id_col: str, text_col: str, lang_col: str, source_co
 def _matrices(got) -> list[np.ndarray]:
     content = [content_view(t) for t in got["text"]]
     meta = [metadata_view(a, b, None if c is None or c != c else int(c)) for a, b, c in zip(got["lang"], got["source"], got["size"], strict=True)]
-    return [np.array(content).reshape(len(got), -1), np.array(meta).reshape(len(got), -1)]
+    return [np.array(content).reshape(len(got), len(_SETS) + 9), np.array(meta).reshape(len(got), HASHED + 6)]
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = 8_000, pool_rows: int = 4_000, chars: int = 50_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", size_col: str = "n_chars") -> QualityModel:
