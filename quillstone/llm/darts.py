@@ -9,7 +9,8 @@ is the larger of the number of shingles and k log k, and nothing depends on othe
 
 Coordinates are hashed in bands. Copies of one text are one class first; in a bucket, each class is compared
 with the bucket's least; classes of one bucket that are still in different components are then compared
-directly, so no pair that shares a band goes untested. Links are verified on the whole shingle sets.
+directly, unless the elements that only one of them has rule the pair out, so no pair that shares a band and
+could link goes untested. Links are verified on the whole shingle sets.
 """
 
 from __future__ import annotations
@@ -146,12 +147,21 @@ def near_duplicates(df: DataFrame, words: int = 5, threshold: float = 0.8, bands
     links = staged(_verified(stars, sets, threshold), "links")
     found = components(links)
     # what is left of a bucket: classes in different components that were not compared yet
-    named = shared.join(found.withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    rest = staged(named.join(mixed, "key").select("key", "doc", "n", "component"), "rest")
-    other = rest.select("key", F.col("doc").alias("b"), F.col("n").alias("m"), F.col("component").alias("cb"))
-    across = rest.join(other, "key").where((F.col("doc") < F.col("b")) & (F.col("component") != F.col("cb"))).where(tight)
-    across = across.select(F.col("doc").alias("a"), "b").distinct().join(stars, ["a", "b"], "left_anti")
+    rest = _mixed(shared.select("key", "doc", "n"), found)
+    alone = staged(_alone(sets.join(rest.select(F.col("doc").alias("id")).distinct(), "id", "left_semi")), "alone")
+    rest = staged(rest.join(alone.withColumnRenamed("id", "doc"), "doc").select("key", "doc", F.greatest(F.col("n") - (words - 1), F.lit(1)).alias("size"), "alone", "component"), "rest")
+    # first with the bucket's most ordinary member, the one with the fewest elements of its own
+    chief = rest.groupBy("key").agg(F.min(F.struct("alone", "doc", "size", "component")).alias("c")).select("key", *[F.col(f"c.{x}").alias(f"b_{x}") for x in ("alone", "doc", "size", "component")])
+    second = rest.join(chief, "key").where((F.col("component") != F.col("b_component")) & _possible(threshold))
+    second = second.select(F.least("doc", "b_doc").alias("a"), F.greatest("doc", "b_doc").alias("b")).distinct()
+    second = staged(second.join(stars, ["a", "b"], "left_anti"), "chiefs")
+    links = staged(links.unionByName(_verified(second, sets, threshold)), "links")
+    # then each with each; a pair stands in the first of the buckets that it shares
+    rest = staged(_mixed(rest.drop("component"), components(links)).join(classes.select(F.col("class").alias("doc"), "keys"), "doc"), "rest")
+    other = rest.select("key", *[F.col(x).alias(f"b_{x}") for x in ("doc", "size", "alone", "component", "keys")])
+    once = F.get(F.array_intersect("keys", "b_keys"), F.lit(0)) == F.col("key")
+    across = rest.join(other, "key").where((F.col("doc") < F.col("b_doc")) & (F.col("component") != F.col("b_component")) & _possible(threshold) & once)
+    across = across.select(F.col("doc").alias("a"), F.col("b_doc").alias("b")).distinct().join(stars.unionByName(second), ["a", "b"], "left_anti")
     more = _verified(staged(across, "across"), sets, threshold)
     final = components(links.unionByName(more)).withColumnRenamed("id", "class")
     joined = signed.select("id", "mark", "digest", "n_words").join(classes.select("digest", "class"), "digest", "left").join(final, "class", "left")
@@ -160,6 +170,20 @@ def near_duplicates(df: DataFrame, words: int = 5, threshold: float = 0.8, bands
     return out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))).withColumnRenamed("id", id_col)
 
 
+def _mixed(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows (key, doc, ...) of the buckets that still hold several components, with the component."""
+    named = rows.join(found.withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    return named.join(several, "key")
+
+
+def _possible(threshold: float):
+    """Whether two sets can reach the threshold, given how many elements each has that no other set has."""
+    most = F.least(F.col("size") - F.col("alone"), F.col("b_size") - F.col("b_alone"))
+    least = F.greatest(F.col("size") + F.col("b_alone"), F.col("b_size") + F.col("alone"))
+    return most >= least * (threshold - 1e-9)
+
+
 def _sets(src: DataFrame, needed: DataFrame, words: int) -> DataFrame:
     """(id, set): the sorted elements of every distinct text of the ids asked for."""
 
@@ -176,6 +200,24 @@ def _sets(src: DataFrame, needed: DataFrame, words: int) -> DataFrame:
     return texts.dropDuplicates(["id", "digest"]).drop("digest")
 
 
+def _alone(sets: DataFrame) -> DataFrame:
+    """(id, alone): how many elements of an id's set no other id has; the least over its texts."""
+
+    def flat(batches):
+        for b in batches:
+            for k in range(0, len(b), 256):
+                part = b.slice(k, 256)
+                each = [np.frombuffer(x, np.int64) for x in part.column(1).to_pylist()]
+                rows = np.repeat(np.arange(len(part)), [len(x) for x in each])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows)), pa.array(np.concatenate(each) if each else np.zeros(0, np.int64))], ["id", "element"])
+
+    elements_of = sets.select("id", "set").mapInArrow(flat, "id long, element long")
+    single = elements_of.groupBy("element").agg(F.min("id").alias("id"), F.max("id").alias("last")).where("id = last")
+    found = single.groupBy("id").agg(F.count("*").alias("alone"))
+    texts = sets.groupBy("id").agg(F.count("*").alias("texts"))
+    return texts.join(found, "id", "left").select("id", F.when(F.col("texts") == 1, F.coalesce("alone", F.lit(0))).otherwise(0).alias("alone"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold."""
 
