@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,9 +26,38 @@ EDGES = " \t\r\n.,;:!?\"'()[]{}|#$%&*-_/\\<>«»“”„’…"
 BIAS = -12.0
 
 
-def word_features(word: str) -> list[str]:
-    w = word.lower().strip(EDGES)
-    return [w + "$", *(w[:n] for n in (3, 4, 5, 6) if len(w) >= n)] if w else []
+#: Kinds of features: the whole word, marked by $, and its first letters.
+KINDS = (0, 3, 4, 5, 6)
+
+
+def bare(word: str) -> str:
+    return word.lower().strip(EDGES)
+
+
+def feature(word: str, kind: int) -> str | None:
+    """A bare word's feature of a kind, if it is long enough for it."""
+    if not kind:
+        return word + "$" if word else None
+    return word[:kind] if len(word) >= kind else None
+
+
+class WordWeights(dict):
+    """Weight of each word as it stands in a text, worked out when first asked for."""
+
+    def __init__(self, weights: dict[str, float]):
+        super().__init__()
+        self.weights = weights
+        self.heads = {f.rstrip("$")[:3] for f in weights}
+
+    def __missing__(self, word: str) -> float:
+        w = bare(word)
+        out = 0.0
+        if w[:3] in self.heads:
+            out = sum(self.weights.get(f, 0.0) for k in KINDS if (f := feature(w, k)) is not None)
+        if len(self) >= MEMO:
+            self.clear()
+        self[word] = out
+        return out
 
 
 @dataclass
@@ -35,24 +65,16 @@ class ToxicityModel:
     weights: dict[str, float]
 
     def __post_init__(self):
-        self.memo: dict[str, float] = {}
-
-    def word(self, word: str) -> float:
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
-        get = self.weights.get
-        self.memo[word] = out = sum(get(f, 0.0) for f in word_features(word))
-        return out
+        self.words = WordWeights(self.weights)
 
     def sentences(self, text: str) -> list[tuple[int, int, float]]:
         """(start, end, log-odds) of every sentence."""
-        return [(m.start(), m.end(), BIAS + sum(map(self.word, m.group().split()))) for m in SENTENCE.finditer(text)]
+        return [(m.start(), m.end(), BIAS + sum(map(self.words.__getitem__, m.group().split()))) for m in SENTENCE.finditer(text)]
 
     def score(self, text: str | None) -> tuple[float, list[tuple[int, int, float]]]:
         """(document probability, offending sentences as (start, end, probability)); null is empty."""
         text = text or ""
-        memo, word = self.memo, self.word
-        if not any([w for w in [memo[t] if t in memo else word(t) for t in text.split()]]):
+        if not any(map(self.words.__getitem__, text.split())):
             return -math.expm1(-len(SENTENCE.findall(text)) * math.log1p(math.exp(BIAS))), []
         each = self.sentences(text)
         miss = math.fsum(_softplus(z) for _, _, z in each)
@@ -81,44 +103,50 @@ def train(texts: list[str], labels: list[int], least: float = 24.0, most: int =
     if not n1 or not n0:
         return ToxicityModel({})
     words: dict[str, int] = {}
-    bags = [[np.unique([words.setdefault(w, len(words)) for w in s.split()]).astype(np.int32) for s in SENTENCE.findall(t)] for t in texts]
-    names: dict[str, int] = {}
-    per_word = [[names.setdefault(f, len(names)) for f in word_features(w)] for w in words]
-    size = np.array([len(f) for f in per_word], np.int64)
-    start = np.cumsum(size) - size
-    flat = np.array([i for f in per_word for i in f], np.int32)
-
-    def features(ids: np.ndarray) -> np.ndarray:
-        n = size[ids]
-        return np.unique(flat[np.repeat(start[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
-
-    counts = np.zeros((2, len(names)))
-    for bag, y in zip(bags, labels, strict=True):
-        if bag:
-            counts[y][features(np.unique(np.concatenate(bag)))] += 1
-    g = leaning(counts[1], counts[0], n1, n0)
-    chosen = np.flatnonzero((g >= least) & (counts[1] >= 5))
-    chosen = chosen[np.argsort(-g[chosen], kind="stable")][:most]
-    place = np.full(len(names), -1, np.int64)
-    place[chosen] = np.arange(len(chosen))
-    if not len(chosen):
+    tokens, in_sentence, in_doc, per_doc = array("i"), array("i"), array("i"), []
+    total = 0
+    for d, t in enumerate(texts):
+        sentences = SENTENCE.findall(t)
+        per_doc.append(len(sentences))
+        for k, s in enumerate(sentences):
+            ids = {words.setdefault(w, len(words)) for w in s.split()}
+            tokens.extend(ids)
+            in_sentence.extend([total + k] * len(ids))
+        total += len(sentences)
+    tokens, in_sentence = np.frombuffer(tokens, np.int32), np.frombuffer(in_sentence, np.int32)
+    doc_of = np.repeat(np.arange(len(texts)), per_doc)
+    stripped = [bare(w) for w in words]
+    y = np.array(labels, float)
+    found: list[tuple[float, str, np.ndarray]] = []
+    for kind in KINDS:
+        names: dict[str, int] = {}
+        of_word = np.array([-1 if (f := feature(w, kind)) is None else names.setdefault(f, len(names)) for w in stripped], np.int64)
+        if not names:
+            continue
+        has = of_word[tokens] >= 0
+        pair = np.unique(doc_of[in_sentence[has]] * len(names) + of_word[tokens[has]])
+        d, f = pair // len(names), pair % len(names)
+        df1 = np.bincount(f[y[d] > 0], minlength=len(names))
+        df0 = np.bincount(f[y[d] == 0], minlength=len(names))
+        g = leaning(df1, df0, n1, n0)
+        label = list(names)
+        for c in np.flatnonzero((g >= least) & (df1 >= 5)):
+            found.append((-float(g[c]), label[c], np.flatnonzero(of_word == c)))
+    found = sorted(found, key=lambda x: x[:2])[:most]
+    if not found:
         return ToxicityModel({})
-    doc, feat, sent, total = [], [], [], 0
-    plain = np.zeros(len(bags))  # sentences without any chosen feature
-    for d, bag in enumerate(bags):
-        for ids in bag:
-            n = size[ids]
-            f = place[flat[np.repeat(start[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())]] if len(ids) else np.zeros(0, np.int64)
-            f = f[f >= 0]
-            if len(f):
-                doc.append(d)
-                feat.append(f)
-                sent.append(np.full(len(f), total))
-                total += 1
-            else:
-                plain[d] += 1
-    doc, y = np.array(doc), np.array(labels, float)
-    feat, sent = np.concatenate(feat), np.concatenate(sent)
+    # (feature, word) pairs, then (feature, sentence) by looking the words up
+    chosen = [name for _, name, _ in found]
+    word_ids = np.concatenate([w for _, _, w in found])
+    feature_ids = np.repeat(np.arange(len(found)), [len(w) for _, _, w in found])
+    order = np.argsort(word_ids, kind="stable")
+    word_ids, feature_ids = word_ids[order], feature_ids[order]
+    lo, hi = np.searchsorted(word_ids, tokens, "left"), np.searchsorted(word_ids, tokens, "right")
+    n = hi - lo
+    feat = feature_ids[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+    sentence, sent = np.unique(np.repeat(in_sentence, n), return_inverse=True)
+    doc, total = doc_of[sentence], len(sentence)
+    plain = np.array(per_doc) - np.bincount(doc, minlength=len(texts))  # sentences without any chosen feature
     w = np.full(len(chosen), 1.0)
     speed, scale = np.zeros(len(w)), np.zeros(len(w))
     floor = plain * math.log1p(math.exp(BIAS)) + 1e-9
@@ -130,8 +158,7 @@ def train(texts: list[str], labels: list[int], least: float = 24.0, most: int =
         grad = np.bincount(feat, (p * pull[doc])[sent], len(w)) / len(y) + 1e-5 * w
         speed, scale = 0.9 * speed + 0.1 * grad, 0.999 * scale + 0.001 * grad**2
         w = np.clip(w - 0.2 * (speed / (1 - 0.9**step)) / (np.sqrt(scale / (1 - 0.999**step)) + 1e-8), 0.0, 30.0)
-    label = list(names)
-    return ToxicityModel({label[c]: float(x) for c, x in zip(chosen, w, strict=True) if x > 1e-3})
+    return ToxicityModel({name: float(x) for name, x in zip(chosen, w, strict=True) if x > 1e-3})
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, column: str, rows: int, chars: int, id_col: str, text_col: str, extra: list[str] | None = None) -> DataFrame:
@@ -146,10 +173,22 @@ def training_rows(docs: DataFrame, labels: DataFrame, column: str, rows: int, ch
     return src.join(F.broadcast(ids), "id").dropDuplicates(["id"])  # the limit bounds the broadcast
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = 8_000, chars: int = 50_000, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = 6_000, chars: int = 50_000, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
     """Train on the driver from a bounded sample: at most `rows` documents of at most `chars` characters."""
     got = training_rows(docs, labels, "toxic", rows, chars, id_col, text_col).select("id", "text", "y").toPandas().sort_values("id")
-    return train(got["text"].tolist(), got["y"].tolist())
+    texts, y = got["text"].tolist(), got["y"].tolist()
+    del got
+    return train(texts, y)
+
+
+_kept: list[tuple[dict, ToxicityModel]] = []
+
+
+def toxicity_model(weights: dict[str, float]) -> ToxicityModel:
+    """The worker's model; tasks of one worker share its memo."""
+    if not _kept or _kept[0][0] != weights:
+        _kept[:] = [(weights, ToxicityModel(weights))]
+    return _kept[0][1]
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -165,7 +204,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batches):
-        m = ToxicityModel(weights.value)
+        m = toxicity_model(weights.value)
         for b in batches:
             got = [m.score(t) for t in b.column(1).to_pylist()]
             bad = [[{"start": x, "end": y, "score": p} for x, y, p in s] for _, s in got]
