@@ -13,19 +13,20 @@ with one remembered state per position. Decoding walks the ids and emits their a
 
 from __future__ import annotations
 
-import hashlib
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words kept in a worker's memo before it is emptied; bounds memory, never results.
-MEMO = 400_000
+from quillstone.llm.common import Memo
+
+#: Words kept in a worker's memo, and again as many of the generation before; bounds memory, never results.
+MEMO = 500_000
 
 
 def byte_letters() -> list[str]:
@@ -45,7 +46,10 @@ class MergeAutomaton:
         for at, (a, b) in enumerate(merges):
             self._gadget(vocab[a], vocab[b], vocab[a + b], at)
         self.arcs: dict[tuple[int, int], bool] = {}
-        self.longest = max((len(t.removesuffix(end) if end else t) for t in vocab), default=0)
+        self.span: dict[str, int] = {}  # the longest label by its first two letters
+        for t in vocab:
+            t = t.removesuffix(end) if end else t
+            self.span[t[:2]] = max(len(t), self.span.get(t[:2], 1))
         self.reach: dict[int, bool] = {}
 
     def _gadget(self, a: int, b: int, c: int, at: int) -> None:
@@ -87,25 +91,41 @@ class MergeAutomaton:
         return False
 
     def encode(self, word: str) -> list[int]:
-        """Ids of one word spelled in byte letters."""
-        n, vocab, end = len(word), self.vocab, self.end
-        last, back = [-1] * (n + 1), [-1] * (n + 1)
-        for j in range(1, n + 1):
-            tail = end if j == n else ""
-            for i in range(max(0, j - self.longest), j):
-                if i and last[i] < 0:
-                    continue
-                t = vocab.get(word[i:j] + tail)
-                if t is not None and self.whole(t) and (not i or self.arc(last[i], t)):
-                    last[j], back[j] = t, i
+        """Ids of one word spelled in byte letters.
+
+        Walks the automaton, the longest label first, and takes back a step that leads nowhere. A prefix has
+        one path, so a place that failed once is never entered again.
+        """
+        n, get, end, arc, span = len(word), self.vocab.get, self.end, self.arc, self.span.get
+        dead = [False] * n
+        path: list[int] = []
+        places, ends = [0], [n]
+        while places:
+            i, j = places[-1], min(ends[-1], places[-1] + span(word[places[-1] : places[-1] + 2], 1))
+            while j > i:
+                if j == n:
+                    t = get(word[i:] + end)
+                else:
+                    t = None if dead[j] else get(word[i:j])
+                if t is not None and self.whole(t) and (not i or arc(path[-1], t)):
                     break
-        if n and last[n] < 0:
+                j -= 1
+            if j > i:
+                path.append(t)
+                if j == n:
+                    return path
+                ends[-1] = j - 1
+                places.append(j)
+                ends.append(n)
+            else:
+                dead[i] = True
+                places.pop()
+                ends.pop()
+                if path:
+                    path.pop()
+        if n:
             raise ValueError(f"no path spells {word!r}")
-        out = []
-        while n:
-            out.append(last[n])
-            n = back[n]
-        return out[::-1]
+        return path
 
     def decode(self, ids: list[int]) -> list[str]:
         return [self.label[i] for i in ids]
@@ -129,32 +149,42 @@ class WordBpe:
         self.auto.label.update({i: t for t, i in self.special.items()})
         self.cut = re.compile("(" + "|".join(re.escape(x) for x in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.letters = byte_letters()
-        self.memo: dict[str, tuple[str, str, int]] = {}
+        size = max(self.auto.label, default=-1) + 1
+        self.labels = [self.auto.label.get(i, "") for i in range(size)]
+        self.digits = [str(i) for i in range(size)]
+        self.memo = Memo(self._chunk, MEMO)
 
-    def _chunk(self, chunk: str) -> tuple[str, str, int]:
-        ids = [i for w in WORDS.findall(chunk) for i in self.auto.encode("".join([self.letters[b] for b in w.encode()]))]
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
-        self.memo[chunk] = out = (" ".join(map(str, ids)), " ".join(self.auto.decode(ids)), len(ids))
-        return out
+    def _chunk(self, chunk: str) -> tuple[int, ...]:
+        return tuple([i for w in WORDS.findall(chunk) for i in self.auto.encode("".join([self.letters[b] for b in w.encode()]))])
 
-    def _plain(self, text: str) -> Iterator[tuple[str, str, int]]:
+    def _plain(self, text: str) -> list[int]:
         text = text if text.isascii() else unicodedata.normalize("NFC", text)
         text = text.replace("Σ", "σ").lower()  # lower case letter by letter, without the final-sigma rule
-        memo = self.memo
-        for c in SPACE.split(text) if ODD.search(text) else text.split():
-            if c:
-                yield memo.get(c) or self._chunk(c)
+        chunks = [c for c in SPACE.split(text) if c] if ODD.search(text) else text.split()
+        return list(chain.from_iterable(map(self.memo.__getitem__, chunks)))
+
+    def ids(self, text: str | None) -> list[int]:
+        """Ids of a whole text; null is empty. A special token's string in a text is that token."""
+        if not text or self.cut is None or not self.cut.search(text):
+            return self._plain(text or "")
+        return [i for piece in self.cut.split(text) for i in ([self.special[piece]] if piece in self.special else self._plain(piece))]
 
     def encode(self, text: str | None) -> tuple[str, str, int]:
-        """(decimal ids joined by a space, decoded text, number of ids) of a whole text; null is empty."""
-        parts: list[tuple[str, str, int]] = []
-        for piece in self.cut.split(text or "") if self.cut else [text or ""]:
-            if (i := self.special.get(piece)) is not None:
-                parts.append((str(i), self.auto.label[i], 1))
-            else:
-                parts.extend(self._plain(piece))
-        return " ".join([p[0] for p in parts]), " ".join([p[1] for p in parts]), sum([p[2] for p in parts])
+        """(decimal ids joined by a space, decoded text, number of ids) of a whole text."""
+        ids = self.ids(text)
+        return " ".join(map(self.digits.__getitem__, ids)), " ".join(map(self.labels.__getitem__, ids)), len(ids)
+
+
+_kept: dict[int, WordBpe] = {}
+
+
+def word_bpe(spec: str) -> WordBpe:
+    """The worker's encoder; tasks of one worker share its tables and memo."""
+    key = hash(spec)
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = WordBpe(spec)
+    return _kept[key]
 
 
 def bpe_encode(df: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -167,7 +197,7 @@ def bpe_encode(df: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_
     spec = df.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def run(batches):
-        bpe = WordBpe(spec.value)
+        bpe = word_bpe(spec.value)
         for b in batches:
             got = [bpe.encode(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -179,7 +209,3 @@ def bpe_encode(df: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_
     kind = src.schema["id"].dataType.simpleString()
     out = src.mapInArrow(run, f"id {kind}, n_tokens long, ids string, decoded string")
     return out.withColumnRenamed("id", id_col)
-
-
-def sha256_hex(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

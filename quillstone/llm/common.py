@@ -54,3 +54,22 @@ def mix64(x: np.ndarray) -> np.ndarray:
         x *= U64(0x94D049BB133111EB)
         x ^= x >> U64(31)
     return x
+
+
+class Memo(dict):
+    """Values worked out when first asked for; when `most` are held they become the older generation, and the
+    generation before is forgotten. Bounds memory, never results."""
+
+    def __init__(self, work, most: int):
+        super().__init__()
+        self.work, self.most, self.older = work, most, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        value = self.older.get(key)
+        if value is None:
+            value = self.work(key)
+        self[key] = value
+        return value

@@ -20,7 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEMO = 400_000
+from quillstone.llm.common import Memo
+
+#: Words kept in a worker's memo, and again as many of the generation before.
+MEMO = 600_000
 MARK = "▁"
 #: No piece crosses these cuts: a space opens a piece or stands in a run of spaces, a line feed is no piece.
 SEGMENTS = re.compile(r"\n| *[^ \n]+| +")
@@ -61,7 +64,7 @@ class PieceCounter:
             raise ValueError("a piece crosses a word boundary; texts can't be cut into words")
         self.single = {p for p, _ in pieces if len(p) == 1}
         self.unknown = unknown
-        self.memo: dict[str, int] = {}
+        self.memo = Memo(self._new, MEMO)
 
     def viterbi(self, s: str) -> int:
         """Number of pieces on the best path over s, marks already in place of spaces."""
@@ -84,19 +87,24 @@ class PieceCounter:
         return count[n]
 
     def _new(self, s: str) -> int:
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
-        self.memo[s] = n = self.viterbi(s.replace(" ", MARK))
-        return n
+        return self.viterbi(s.replace(" ", MARK))
 
     def count(self, text: str | None) -> int:
         if not text:
             return 0
-        memo, total = self.memo, 0
-        for s in SEGMENTS.findall(" " + text.replace(MARK, " ")):
-            n = memo.get(s)
-            total += n if n is not None else self._new(s)
-        return total
+        return sum(map(self.memo.__getitem__, SEGMENTS.findall(" " + text.replace(MARK, " "))))
+
+
+_kept: dict[int, PieceCounter] = {}
+
+
+def piece_counter(pieces: list[tuple[str, float]], unknown: float) -> PieceCounter:
+    """The worker's counter; tasks of one worker share its automaton and memo."""
+    key = hash((tuple(pieces), unknown))
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = PieceCounter(pieces, unknown)
+    return _kept[key]
 
 
 def token_counts(df: DataFrame, pieces: list[tuple[str, float]], unknown: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -109,7 +117,7 @@ def token_counts(df: DataFrame, pieces: list[tuple[str, float]], unknown: float,
     vocab = df.sparkSession.sparkContext.broadcast((pieces, unknown))
 
     def run(batches):
-        counter = PieceCounter(*vocab.value)
+        counter = piece_counter(*vocab.value)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([counter.count(t) for t in b.column(1).to_pylist()], pa.int64())], ["id", "n_tokens"])
 
