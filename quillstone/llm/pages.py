@@ -157,11 +157,9 @@ def common_lines(a: list[int], b: list[int]) -> list[bool]:
 
 
 def main_text(lines: list[tuple[str, bool, bool]], shared: list[bool]) -> str:
-    """What stays of a page's (text, in an article, never) lines."""
-    if any(a and not n for _, a, n in lines):
-        return "\n".join([t for t, a, n in lines if a and not n])
+    """What stays of a page's (text, in an article, never) lines: an article only keeps its own shared lines."""
     copy = all(shared)
-    return "\n".join([t for (t, _, n), s in zip(lines, shared, strict=True) if not n and (copy or not s)])
+    return "\n".join([t for (t, a, n), s in zip(lines, shared, strict=True) if not n and (a or copy or not s)])
 
 
 def _prefix(a: str, b: str) -> int:

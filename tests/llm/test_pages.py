@@ -48,6 +48,13 @@ def test_difference_without_an_article():
     assert extract(one) == "Top menu\nStory one.\nMore.\nAll rights"
 
 
+def test_difference_beside_an_article():
+    one = "<div>Top menu</div><p>Story one.</p><article><p>Licence</p><p>Teaser</p></article><div>All rights</div>"
+    two = "<div>Top menu</div><p>Another story.</p><article><p>Licence</p></article><div>All rights</div>"
+    assert extract(one, two) == "Story one.\nLicence\nTeaser"
+    assert extract(two, one) == "Another story.\nLicence"
+
+
 def test_odd_pages():
     assert extract(None) == extract("") == extract("<script>x") == extract("<!-- open") == ""
     assert extract("a < b") == "a < b"
