@@ -31,7 +31,6 @@ TOKEN = re.compile(
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
-WORDS = re.compile(r"[a-z]+")
 BLANKS = re.compile(r"\s+")
 
 # Tag and name lists; plain text, to be extended as needed.
@@ -41,6 +40,9 @@ NEVER = frozenset("nav footer aside form button dialog menu head search fieldset
 ARTICLE = frozenset("article main".split())
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog menu menubar toolbar alert".split())
 NEVER_NAMES = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs captcha comment comments consent cookie cookies dfp disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination paywall popup promo promoted promotion reactions related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split())
+NEVER_NAMES |= frozenset("ad-banner ad-container ad-slot ad-unit ad-wrapper comment-form comment-list comments-area cookie-banner cookie-bar cookie-consent cookie-notice main-nav main-navigation nav-menu page-footer related-articles related-posts share-buttons site-footer site-header site-nav social-share".split())
+#: Names of a page's header; an article's own header is main text, as with the tag.
+HEADER_NAMES = frozenset("header masthead".split())
 CLOSES_P = BLOCKS - {"body", "html", "head", "li", "td", "th", "tr", "dd", "dt", "option"}
 
 
@@ -51,8 +53,9 @@ class Line:
     never: bool
 
 
-def _kind(tag: str, rest: str, inside_article: bool) -> tuple[bool, bool]:
-    """(opens an article, is never main text) of a start tag."""
+def _kind(tag: str, rest: str, inside_article: bool) -> tuple[bool, bool, bool]:
+    """(opens an article, is never main text, has a whole class or id that names a part) of a start tag."""
+    named = False
     never, article = tag in NEVER or (tag == "header" and not inside_article), tag in ARTICLE
     if rest:
         for name, value in ATTRIBUTE.findall(rest):
@@ -61,18 +64,18 @@ def _kind(tag: str, rest: str, inside_article: bool) -> tuple[bool, bool]:
                 never |= value in NEVER_ROLES
                 article |= value in ("main", "article")
             elif name in ("class", "id"):
-                if tag not in ("html", "body", "article", "main") and not NEVER_NAMES.isdisjoint(WORDS.findall(value)):
-                    never = True
+                names = NEVER_NAMES.intersection(value.replace("_", "-").split())
+                named |= tag not in ("html", "body") and bool(names - HEADER_NAMES if inside_article else names)
             elif (name == "hidden" and value in ("", "hidden")) or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
                 never = True
-    return article, never
+    return article, never, named
 
 
 def page_lines(source: str | None) -> list[Line]:
     """Text blocks in page order, character references decoded and white space made single blanks."""
     lines: list[Line] = []
-    stack: list[tuple[str, bool, bool]] = []
-    article = never = False
+    stack: list[tuple[str, bool, bool, bool]] = []
+    article = never = named = False
     buffer: list[str] = []
     at = 0
 
@@ -81,7 +84,7 @@ def page_lines(source: str | None) -> list[Line]:
             text = BLANKS.sub(" ", html.unescape("".join(buffer))).strip()
             buffer.clear()
             if text:
-                lines.append(Line(text, article, never))
+                lines.append(Line(text, article, never or named))
 
     source = source or ""
     for m in TOKEN.finditer(source):
@@ -103,18 +106,22 @@ def page_lines(source: str | None) -> list[Line]:
                 flush()
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    article, never = stack[k][1], stack[k][2]
+                    _, article, never, named = stack[k]
                     del stack[k:]
                     break
             continue
         if tag in BLOCKS:
             flush()
-        a, n = _kind(tag, m.group(4), article)
-        if a or n or tag in BLOCKS:
+        a, n, by_name = _kind(tag, m.group(4), article)
+        if a or n or by_name or tag in BLOCKS:
             if not m.group(4).endswith("/") or tag in BLOCKS:
                 if tag in CLOSES_P and stack and stack[-1][0] == "p":  # a p can't hold a block: it ends here
-                    _, article, never = stack.pop()
-                stack.append((tag, article, never))
+                    _, article, never, named = stack.pop()
+                stack.append((tag, article, never, named))
+                if a and not article and not by_name:  # a named part around an article does not silence it
+                    named = False
+                elif tag not in ARTICLE:
+                    named |= by_name
                 article, never = article or a, never or n
     if at < len(source):
         buffer.append(source[at:])

@@ -55,6 +55,16 @@ def test_difference_beside_an_article():
     assert extract(two, one) == "Another story.\nLicence"
 
 
+def test_names_are_whole_and_do_not_silence_an_article():
+    for name in ("layout has-sidebar", "no-sidebar", "with-nav", "ad-free", "shareholder-notice-text", "sidebar", "header"):
+        assert extract(f'<div class="{name}"><article><p>Story.</p></article></div>') == "Story."
+        assert extract(f'<div id="{name}"><main><p>Story.</p></main></div>') == "Story."
+    assert extract('<article><div class="article-header"><h1>Title</h1></div><div class="header"><h2>Sub</h2></div><p>Story.</p></article>') == "Title\nSub\nStory."
+    assert extract('<div class="header">Site</div><div class="post share">Share</div><div class="ad"><p>buy</p></div><p>Story.</p>') == "Story."
+    assert extract('<article><p>Story.</p><div id="comments"><article class="comment">reader</article><article>reader</article></div></article>') == "Story."
+    assert extract('<article>Story.</article><div class="comments"><article class="comment">reader</article></div>') == "Story."
+
+
 def test_odd_pages():
     assert extract(None) == extract("") == extract("<script>x") == extract("<!-- open") == ""
     assert extract("a < b") == "a < b"
