@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import math
 import re
-from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstone.llm.common import Memo, staged
+
 MEMO = 400_000
 SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*|[.!?\n]+")
 EDGES = " \t\r\n.,;:!?\"'()[]{}|#$%&*-_/\\<>«»“”„’…"
@@ -96,58 +97,76 @@ def leaning(df1: np.ndarray, df0: np.ndarray, n1: int, n0: int) -> np.ndarray:
     return np.where(df1 * n0 > df0 * n1, g, -g)
 
 
+def word_features(word: str) -> tuple[tuple[int, str], ...]:
+    """(kind, name) of every feature of a word as it stands in a text."""
+    w = bare(word)
+    return tuple((k, f) for k in KINDS if (f := feature(w, k)) is not None)
+
+
+class FeatureCounts:
+    """Documents of each label that hold a feature."""
+
+    def __init__(self):
+        self.of_word = Memo(word_features, MEMO)
+        self.counts: dict[tuple[int, str], list[int]] = {}
+
+    def add(self, text: str, label: int) -> None:
+        for f in {f for w in set(text.split()) for f in self.of_word[w]}:
+            self.counts.setdefault(f, [0, 0])[label] += 1
+
+    def batch(self) -> pa.RecordBatch:
+        """The counts so far, which are then forgotten."""
+        keys, counts = list(self.counts), list(self.counts.values())
+        self.counts = {}
+        return pa.RecordBatch.from_pydict({"kind": pa.array([k for k, _ in keys], pa.int32()), "name": pa.array([f for _, f in keys], pa.string()), "df1": pa.array([c[1] for c in counts], pa.int64()), "df0": pa.array([c[0] for c in counts], pa.int64())})
+
+
+def marked(text: str, of_word: dict[str, list[int]]) -> tuple[int, list[int], list[int]]:
+    """(sentences, numbers of chosen features in each sentence that has any, those features)."""
+    sizes, feats, n = [], [], 0
+    for m in SENTENCE.finditer(text):
+        n += 1
+        here = [f for w in dict.fromkeys(m.group().split()) for f in of_word[w]]
+        if here:
+            sizes.append(len(here))
+            feats.extend(here)
+    return n, sizes, feats
+
+
+def numbers_of(chosen: list[tuple[int, str]]) -> Memo:
+    """Chosen features of each word, as places in the list."""
+    place = {f: k for k, f in enumerate(chosen)}
+    return Memo(lambda w: [place[f] for f in word_features(w) if f in place], MEMO)
+
+
 def train(texts: list[str], labels: list[int], least: float = 24.0, most: int = 20_000, steps: int = 300) -> ToxicityModel:
     """Fit on documents; features need a log-likelihood ratio of `least`. One class alone gives no weights."""
     n1 = sum(labels)
     n0 = len(labels) - n1
     if not n1 or not n0:
         return ToxicityModel({})
-    words: dict[str, int] = {}
-    tokens, in_sentence, in_doc, per_doc = array("i"), array("i"), array("i"), []
-    total = 0
-    for d, t in enumerate(texts):
-        sentences = SENTENCE.findall(t)
-        per_doc.append(len(sentences))
-        for k, s in enumerate(sentences):
-            ids = {words.setdefault(w, len(words)) for w in s.split()}
-            tokens.extend(ids)
-            in_sentence.extend([total + k] * len(ids))
-        total += len(sentences)
-    tokens, in_sentence = np.frombuffer(tokens, np.int32), np.frombuffer(in_sentence, np.int32)
-    doc_of = np.repeat(np.arange(len(texts)), per_doc)
-    stripped = [bare(w) for w in words]
-    y = np.array(labels, float)
-    found: list[tuple[float, str, np.ndarray]] = []
-    for kind in KINDS:
-        names: dict[str, int] = {}
-        of_word = np.array([-1 if (f := feature(w, kind)) is None else names.setdefault(f, len(names)) for w in stripped], np.int64)
-        if not names:
-            continue
-        has = of_word[tokens] >= 0
-        pair = np.unique(doc_of[in_sentence[has]] * len(names) + of_word[tokens[has]])
-        d, f = pair // len(names), pair % len(names)
-        df1 = np.bincount(f[y[d] > 0], minlength=len(names))
-        df0 = np.bincount(f[y[d] == 0], minlength=len(names))
-        g = leaning(df1, df0, n1, n0)
-        label = list(names)
-        for c in np.flatnonzero((g >= least) & (df1 >= 5)):
-            found.append((-float(g[c]), label[c], np.flatnonzero(of_word == c)))
-    found = sorted(found, key=lambda x: x[:2])[:most]
-    if not found:
+    counted = FeatureCounts()
+    for t, y in zip(texts, labels, strict=True):
+        counted.add(t, y)
+    keys, counts = list(counted.counts), np.array(list(counted.counts.values())).reshape(-1, 2)
+    g = leaning(counts[:, 1], counts[:, 0], n1, n0)
+    best = sorted((-float(g[c]), keys[c][1], keys[c][0]) for c in np.flatnonzero((g >= least) & (counts[:, 1] >= 5)))[:most]
+    chosen = [(kind, name) for _, name, kind in best]
+    of_word = numbers_of(chosen)
+    return fit_weights([name for _, name in chosen], np.array(labels), *zip(*[marked(t, of_word) for t in texts], strict=True), steps)
+
+
+def fit_weights(names: list[str], labels: np.ndarray, per_doc, sizes, feats, steps: int = 300) -> ToxicityModel:
+    """Weights of features, from what marked() gives for each document."""
+    if not names:
         return ToxicityModel({})
-    # (feature, word) pairs, then (feature, sentence) by looking the words up
-    chosen = [name for _, name, _ in found]
-    word_ids = np.concatenate([w for _, _, w in found])
-    feature_ids = np.repeat(np.arange(len(found)), [len(w) for _, _, w in found])
-    order = np.argsort(word_ids, kind="stable")
-    word_ids, feature_ids = word_ids[order], feature_ids[order]
-    lo, hi = np.searchsorted(word_ids, tokens, "left"), np.searchsorted(word_ids, tokens, "right")
-    n = hi - lo
-    feat = feature_ids[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-    sentence, sent = np.unique(np.repeat(in_sentence, n), return_inverse=True)
-    doc, total = doc_of[sentence], len(sentence)
-    plain = np.array(per_doc) - np.bincount(doc, minlength=len(texts))  # sentences without any chosen feature
-    w = np.full(len(chosen), 1.0)
+    in_doc = [len(x) for x in sizes]
+    doc = np.repeat(np.arange(len(in_doc)), in_doc)
+    size, feat = (np.concatenate([np.asarray(x, np.int64) for x in many]) for many in (sizes, feats))
+    total = len(size)
+    sent = np.repeat(np.arange(total), size)
+    y, plain = labels.astype(float), np.array(per_doc) - np.array(in_doc)  # sentences without any chosen feature
+    w = np.full(len(names), 1.0)
     speed, scale = np.zeros(len(w)), np.zeros(len(w))
     floor = plain * math.log1p(math.exp(BIAS)) + 1e-9
     for step in range(1, steps + 1):
@@ -158,7 +177,7 @@ def train(texts: list[str], labels: list[int], least: float = 24.0, most: int =
         grad = np.bincount(feat, (p * pull[doc])[sent], len(w)) / len(y) + 1e-5 * w
         speed, scale = 0.9 * speed + 0.1 * grad, 0.999 * scale + 0.001 * grad**2
         w = np.clip(w - 0.2 * (speed / (1 - 0.9**step)) / (np.sqrt(scale / (1 - 0.999**step)) + 1e-8), 0.0, 30.0)
-    return ToxicityModel({name: float(x) for name, x in zip(chosen, w, strict=True) if x > 1e-3})
+    return ToxicityModel({name: float(x) for name, x in zip(names, w, strict=True) if x > 1e-3})
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, column: str, rows: int, chars: int, id_col: str, text_col: str, extra: list[str] | None = None) -> DataFrame:
@@ -173,12 +192,48 @@ def training_rows(docs: DataFrame, labels: DataFrame, column: str, rows: int, ch
     return src.join(F.broadcast(ids), "id").dropDuplicates(["id"])  # the limit bounds the broadcast
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = 6_000, chars: int = 50_000, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
-    """Train on the driver from a bounded sample: at most `rows` documents of at most `chars` characters."""
-    got = training_rows(docs, labels, "toxic", rows, chars, id_col, text_col).select("id", "text", "y").toPandas().sort_values("id")
-    texts, y = got["text"].tolist(), got["y"].tolist()
-    del got
-    return train(texts, y)
+def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = 8_000, chars: int = 50_000, id_col: str = "doc_id", text_col: str = "text", least: float = 24.0, most: int = 20_000) -> ToxicityModel:
+    """train() on a bounded sample: at most `rows` documents of at most `chars` characters.
+
+    Executors count features and mark sentences; the driver holds at most `most` features and the numbers of the
+    sentences that have one, no texts.
+    """
+    src = staged(training_rows(docs, labels, "toxic", rows, chars, id_col, text_col).select("id", "text", "y"), "toxicity")
+    n = {r["y"]: r["count"] for r in src.groupBy("y").count().collect()}
+    if len(n) < 2:
+        return ToxicityModel({})
+
+    def count(batches):
+        counted = FeatureCounts()
+        for b in batches:
+            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                counted.add(t, y)
+                if len(counted.counts) >= MEMO:
+                    yield counted.batch()
+        yield counted.batch()
+
+    def lean(batches):
+        for pdf in batches:
+            yield pdf.assign(g=leaning(pdf["df1"].to_numpy(), pdf["df0"].to_numpy(), n[1], n[0]))[["kind", "name", "g"]]
+
+    counts = src.select("text", "y").mapInArrow(count, "kind int, name string, df1 long, df0 long")
+    counts = counts.groupBy("kind", "name").agg(F.sum("df1").alias("df1"), F.sum("df0").alias("df0")).where("df1 >= 5")
+    best = counts.mapInPandas(lean, "kind int, name string, g double").where(F.col("g") >= least).orderBy(F.desc("g"), "name", "kind").limit(most)
+    chosen = [(r["kind"], r["name"]) for r in best.collect()]
+    if not chosen:
+        return ToxicityModel({})
+    shared = docs.sparkSession.sparkContext.broadcast(chosen)
+
+    def mark(batches):
+        of_word = numbers_of(shared.value)
+        for b in batches:
+            got = [marked(t, of_word) for t in b.column(1).to_pylist()]
+            numbers = [pa.array([np.array(x[k], np.int32).tobytes() for x in got], pa.binary()) for k in (1, 2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([x[0] for x in got], pa.int32()), *numbers], ["id", "y", "sentences", "sizes", "feats"])
+
+    got = src.mapInArrow(mark, "id long, y int, sentences int, sizes binary, feats binary").toPandas().sort_values("id")
+    sizes, feats = ([np.frombuffer(x, np.int32) for x in got[c]] for c in ("sizes", "feats"))
+    return fit_weights([name for _, name in chosen], got["y"].to_numpy(), got["sentences"].to_numpy(), sizes, feats)
 
 
 _kept: list[tuple[dict, ToxicityModel]] = []

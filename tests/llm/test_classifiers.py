@@ -61,6 +61,18 @@ def test_toxicity_operator(spark):
     assert toxicity.fit_toxicity(docs.limit(0), labels).weights == {}
 
 
+def test_every_labelled_row_up_to_the_bound_is_learnt_from(spark):
+    rng = random.Random(6)
+    y = [int(rng.random() < 0.2) for _ in range(9_000)]
+    texts = [f"{rng.choice(VOCABULARY)} {rng.choice(VOCABULARY)}. {'Vilest' if v else rng.choice(VOCABULARY)} {rng.choice(VOCABULARY)}, vile." for v in y]
+    seen = [k for k in range(len(y)) if zlib.crc32(str(k).encode()) % 5]
+    assert 6_000 < len(seen) <= 8_000
+    labels = spark.createDataFrame(list(enumerate(y)), "doc_id long, toxic int")
+    got = toxicity.fit_toxicity(documents(spark, list(enumerate(texts))), labels).weights
+    want = toxicity.train([texts[k] for k in seen], [y[k] for k in seen]).weights
+    assert got and got == want
+
+
 def test_held_out_labels_are_not_read(spark):
     texts, y = corpus(4, 300)
     docs = documents(spark, list(enumerate(texts)))
