@@ -2,9 +2,10 @@
 
 Each pass has its own random hyperplanes; a vector's key is the concatenation of their sign bits. Vectors of
 one label are put in the order of their keys and each is compared with the next `window` vectors. Pairs that
-reach the threshold are united over all passes. Windows find enough links to join a group, but not all links
-of a group larger than a window; so the links of each vector are then counted exactly inside its component,
-in blocks of bounded size that give back counts, never pairs.
+reach the threshold are united over all passes. Where vectors share a direction, sign bits hardly separate them
+and windows miss links; so vectors of one label that the passes left in different components are then compared
+exactly, in blocks of bounded size, and links found join the components. The links of each vector are counted
+exactly inside its component, in blocks too, that give back counts, never pairs.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from quillstone.llm.common import shuffle_partitions, staged
 from quillstone.llm.components import Forest, components
 
-BITS, CHUNK, BLOCK = 48, 1024, 512
+BITS, CHUNK, BLOCK, CELL = 48, 1024, 512, 1024
 
 
 def hyperplanes(dim: int, index: int) -> np.ndarray:
@@ -59,8 +60,8 @@ def vector_duplicates(df: DataFrame, threshold: float = 0.98, passes: int = 12,
     precision is at least the threshold. A vector that is null, empty or zero or holds null or non-finite
     components, a null label or a null id links with nothing: n_links 0, its own component, kept. Equal vectors
     of one label are one class while searching and count as links of one another. n_links counts other ids; a
-    repeated row gives an equal answer. An empty table gives no rows; other columns are not read. A pair at the
-    threshold is missed only if no pass brings it, or a chain of links between its ends, into one window.
+    repeated row gives an equal answer. An empty table gives no rows; other columns are not read. No link is
+    missed, whatever the passes bring together: they only save the exact comparison links to give back.
     """
     spark = df.sparkSession
     v = F.col(vector_col).cast("array<double>")
@@ -122,7 +123,10 @@ def vector_duplicates(df: DataFrame, threshold: float = 0.98, passes: int = 12,
     met = borders.where("side = 1").withColumn("prior", F.col("run")).unionByName(borders.where("side = 0").join(before, "run"))
     joined = met.groupBy("prior").applyInPandas(across, "a long, b long")
     edges = found.where("side = -1").select(F.col("id").alias("a"), "b").unionByName(joined)
-    parts = components(edges)
+    parts = staged(components(edges), "parts")
+    missed = staged(_missed_links(classes, parts, threshold), "missed")
+    if not missed.isEmpty():
+        parts = components(parts.where("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(missed))
     counts = _link_counts(classes, parts, threshold)
     joined = classes.select("h1", "h2", "id", "copies").join(parts, "id", "left").join(counts, "id", "left")
     answers = joined.select("h1", "h2", F.coalesce("component", "id").alias("component"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
@@ -150,21 +154,34 @@ def _sweep(pdf: pd.DataFrame, first: int, window: int, threshold: float, found:
                 found.join(int(ids[a + i]), int(ids[a + j]))
 
 
-def _link_counts(classes: DataFrame, parts: DataFrame, threshold: float) -> DataFrame:
-    """(id, links): per class, the ids of other classes of its component whose cosine reaches the threshold."""
-    sizes = parts.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    members = classes.select("id", "copies", "v", "label").join(parts, "id").join(sizes, "component")
+def _missed_links(classes: DataFrame, parts: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): pairs of components that a link between their members joins; all vectors of a label are compared."""
+    groups = classes.groupBy("label", "dim").agg(F.min("id").alias("group"), F.ceil(F.count("*") / CELL).cast("int").alias("blocks"))
+    members = classes.select("id", "label", "dim", "v").join(parts, "id", "left").join(groups, ["label", "dim"])
     members = members.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    blocks = members.select("component", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id", "copies", "v")
-    key = ["component", "lo", "hi"]
+    blocks = members.select("group", "dim", F.xxhash64("label").alias("mark"), F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", F.coalesce("component", "id").alias("component"), "v")
+    key = ["group", "dim", "mark", "lo", "hi"]
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        u, part, first = unit(_stack(rows["v"])), rows["component"].to_numpy(), rows["own"].to_numpy() == rows["lo"].iat[0]
+        if rows["lo"].iat[0] == rows["hi"].iat[0]:
+            left = right = np.arange(len(u))
+        else:
+            left, right = np.flatnonzero(first), np.flatnonzero(~first)
+        found = [np.empty((0, 2), np.int64)]
+        for k in range(0, len(left), CHUNK):
+            i, j = np.nonzero(u[left[k : k + CHUNK]] @ u[right].T >= threshold)
+            pairs = np.sort(np.stack([part[left[k + i]], part[right[j]]], axis=1), axis=1)
+            found.append(np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    dealt = blocks.repartition(*key).sortWithinPartitions(*key)
+    return dealt.mapInPandas(_by_key(key, compare), "a long, b long").distinct()
 
-    def count(rows: pd.DataFrame) -> pd.DataFrame:
-        u, n, own, lo, hi = unit(_stack(rows["v"])), rows["copies"].to_numpy(), rows["own"].to_numpy(), rows["lo"].iat[0], rows["hi"].iat[0]
-        near = u @ u.T >= threshold
-        np.fill_diagonal(near, False)
-        if lo != hi:
-            near &= own[:, None] != own[None, :]
-        return pd.DataFrame({"id": rows["id"].to_numpy(), "links": near @ n})
+
+def _by_key(key: list[str], work):
+    """Apply work to the rows of each key in turn; batches come sorted by the key."""
 
     def run(batches):
         held = None
@@ -175,11 +192,30 @@ def _link_counts(classes: DataFrame, parts: DataFrame, threshold: float) -> Data
             same = (both[key] == both[key].iloc[-1]).all(axis=1).to_numpy()
             held = both[same]
             done = both[~same]
-            out = [count(g) for _, g in done.groupby(key, sort=False)]
+            out = [work(g) for _, g in done.groupby(key, sort=False)]
             if out:
                 yield pd.concat(out, ignore_index=True)
         if held is not None and len(held):
-            yield count(held)
+            yield work(held)
+
+    return run
+
+
+def _link_counts(classes: DataFrame, parts: DataFrame, threshold: float) -> DataFrame:
+    """(id, links): per class, the ids of other classes of its component whose cosine reaches the threshold."""
+    sizes = parts.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    members = classes.select("id", "copies", "v", "label").join(parts, "id").join(sizes, "component")
+    members = members.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    blocks = members.select("component", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id", "copies", "v")
+    key = ["component", "lo", "hi"]
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        u, n, own, lo, hi = unit(_stack(rows["v"])), rows["copies"].to_numpy(), rows["own"].to_numpy(), rows["lo"].iat[0], rows["hi"].iat[0]
+        near = u @ u.T >= threshold
+        np.fill_diagonal(near, False)
+        if lo != hi:
+            near &= own[:, None] != own[None, :]
+        return pd.DataFrame({"id": rows["id"].to_numpy(), "links": near @ n})
 
     dealt = blocks.repartition(*key).sortWithinPartitions(*key)
-    return dealt.mapInPandas(run, "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
+    return dealt.mapInPandas(_by_key(key, count), "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))

@@ -97,6 +97,18 @@ def test_vector_duplicates_large_group(spark):
     assert got(out) == brute(rows, 0.98)
 
 
+def test_vector_duplicates_dense_label(spark, monkeypatch):
+    """Vectors that share a direction: windows miss links, the answers don't; more than one block."""
+    monkeypatch.setattr(vectors, "CELL", 128, raising=False)
+    rng = np.random.RandomState(5)
+    center = rng.standard_normal(32)
+    v = center / np.linalg.norm(center) + 0.26 / math.sqrt(32) * rng.standard_normal((300, 32))
+    near = v[:60] + 0.18 / math.sqrt(32) * rng.standard_normal((60, 32))
+    rows = [(k, x.tolist(), 1) for k, x in enumerate([*v, *near])]
+    rows += [(2000 + k, x.tolist(), 2) for k, x in enumerate(v[:20])]
+    assert got(vectors.vector_duplicates(table(spark, rows), passes=2, window=4)) == brute(rows, 0.98)
+
+
 def test_vector_duplicates_awkward(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 0), (2, [2.0, 0.0], 0), (3, None, 0), (4, [], 0), (5, [0.0, 0.0], 0), (6, [nan, 1.0], 0), (7, [inf, 1.0], 0), (8, [1.0, None], 0), (9, [1.0, 0.0], None), (10, [1.0, 0.0, 0.0], 0), (11, [1e30, 0.0], 0), (12, [-1.0, 0.0], 0)]
