@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 
@@ -124,3 +125,11 @@ def test_state(spark):
     assert incremental.cached(t, "s1", full_resync=True).count() == 0
     marked = incremental.with_is_new(spark.createDataFrame([("x",), ("z",)], "fingerprint string"), t)
     assert {r.fingerprint: r.is_new for r in marked.collect()} == {"x": False, "z": True}
+
+
+def test_long_chains_have_one_root(spark):
+    """By simulation this chain takes 60 rounds of minimum and jump."""
+    fps = [hashlib.md5(f"39-{k}".encode()).hexdigest() for k in range(90)]
+    edges = spark.createDataFrame(list(zip(fps, fps[1:], strict=False)), "a string, b string").coalesce(1)
+    got = resolve.smallest_reachable(edges).collect()
+    assert len(got) == 90 and {r.root for r in got} == {min(fps)}
