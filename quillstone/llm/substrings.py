@@ -2,9 +2,9 @@
 
 1. Every partition sketches its windows in a count-min table (two rows of cells, a cell knows 0, 1 or "2 and
    more"). Only the cells that were hit travel, as gaps between sorted cell numbers, and they are merged by
-   cell range, streaming. The merged table of repeated cells is 2 * 2^width_bits bits, whatever the input.
+   cell range, streaming. Its width follows the text's bytes, up to 2 * 2^width_bits bits for any larger input.
 2. A window whose smallest cell says "once" is unique: an estimate is never too low, so none is lost. The rest
-   are grouped exactly by a 96-bit key: a block settles what it can by itself and sends one document per key.
+   are grouped by a 128-bit digest of their words (made of the words' own 128-bit digests): a block settles what it can by itself and sends one document per key.
 3. Answers go back by block, become one row a document, and are joined to the texts.
 
 The table is broadcast; its size is the parameter, not the data. On an input much larger than 2^width_bits
@@ -13,6 +13,7 @@ windows more unique windows reach step 2; results stay the same.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator, Sequence
 
@@ -26,17 +27,21 @@ from pyspark.sql import functions as F
 from quillstone.llm.common import U64, mix64, shuffle_partitions
 from quillstone.llm.wordhash import run_hashes, run_rows, word_hashes
 
+#: The table is cut into at least this many ranges of cells, a merging task each and row.
 RANGES = 32
-BLOCK_WINDOWS = 4_000_000
+#: A block is full when it holds so many windows, or the documents of so many rows.
+BLOCK_WINDOWS, BLOCK_DOCUMENTS = 2_000_000, 500_000
 WORD = re.compile("[^ \t-\r]+")
 
 
 def squeeze(a: np.ndarray) -> bytes:
-    """Compress an array byte plane by byte plane."""
-    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(len(a), -1).T.tobytes())
+    """Compress an array byte plane by byte plane; an empty array is no bytes."""
+    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(len(a), -1).T.tobytes()) if len(a) else b""
 
 
 def expand(data: bytes, kind) -> np.ndarray:
+    if not data:
+        return np.zeros(0, kind)
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data, max_output_size=1 << 31), np.uint8)
     width = np.dtype(kind).itemsize
     return np.ascontiguousarray(raw.reshape(width, -1).T).view(kind).ravel()
@@ -51,10 +56,10 @@ def expand_sorted(data: bytes) -> np.ndarray:
 
 
 class Windows:
-    """A block of documents and their windows."""
+    """Windows of a block of documents: the keys of all of them, or all that is known of those that `table` lets pass."""
 
-    def __init__(self, n: int):
-        self.n = n
+    def __init__(self, n: int, table: Table | None = None):
+        self.n, self.table = n, table
         self.clear()
 
     def clear(self) -> None:
@@ -63,23 +68,27 @@ class Windows:
         self.doc, self.place, self.key, self.key2 = [], [], [], []
         self.size = 0
 
-    def add(self, batch: pa.RecordBatch, second: bool) -> Iterator[None]:
+    def add(self, batch: pa.RecordBatch) -> Iterator[None]:
         """Take a batch of (id, mark, text), pausing whenever the block is full."""
         ids, marks = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
         for row, per_row, words in word_hashes(batch.column(2)):
             base = len(self.ids)
-            self.ids.extend(ids[row : row + len(per_row)].tolist())
-            self.marks.extend(marks[row : row + len(per_row)].tolist())
             r, place = run_rows(per_row, self.n)
             at = (np.cumsum(per_row) - per_row)[r] + place
-            if len(at):
-                self.doc.append((r + base).astype(np.uint32))
-                self.place.append(place.astype(np.uint32))
-                self.key.append(run_hashes(words, self.n, 0)[at])
-                if second:
-                    self.key2.append((run_hashes(words, self.n, 1)[at] >> U64(32)).astype(np.uint32))
-                self.size += len(at)
-            if self.size >= BLOCK_WINDOWS:
+            key = run_hashes(words, self.n, 0)[at] if len(at) else np.zeros(0, U64)
+            if self.table:
+                self.ids.extend(ids[row : row + len(per_row)].tolist())
+                self.marks.extend(marks[row : row + len(per_row)].tolist())
+                some = np.flatnonzero(self.table.repeated(key))
+                r, place, at, key = r[some], place[some], at[some], key[some]
+                if len(at):
+                    self.doc.append((r + base).astype(np.uint32))
+                    self.place.append(place.astype(np.uint32))
+                    self.key2.append(run_hashes(words, self.n, 1)[at])
+            if len(key):
+                self.key.append(key)
+                self.size += len(key)
+            if self.size >= BLOCK_WINDOWS or len(self.ids) >= BLOCK_DOCUMENTS:
                 yield
                 self.clear()
 
@@ -88,9 +97,18 @@ def _cells(key: np.ndarray, row: int, bits: int) -> np.ndarray:
     return ((key >> U64(32 * row)) & U64((1 << bits) - 1)).astype(np.uint32)
 
 
-def sketch(src: DataFrame, n: int, bits: int) -> list[bytes]:
+def table_shape(src: DataFrame, width_bits: int) -> tuple[int, int]:
+    """(bits, ranges): twice the cells that the text's bytes can hold windows of common length, at most
+    2^width_bits, and so many ranges that a merging task takes some 2^23 windows."""
+    octets = src.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    wanted = math.ceil(math.log2(octets / 4 + 1)) if octets else 0
+    bits = min(width_bits, max(20, wanted))
+    return bits, RANGES << max(0, min(wanted - 28, 7, bits - 8))
+
+
+def sketch(src: DataFrame, n: int, bits: int, ranges: int) -> list[bytes]:
     """The merged table: per row and cell range, a compressed bitmap of the cells hit more than once."""
-    span = bits - RANGES.bit_length() + 1
+    span = bits - ranges.bit_length() + 1
 
     def out(w: Windows):
         if not w.size:
@@ -99,14 +117,14 @@ def sketch(src: DataFrame, n: int, bits: int) -> list[bytes]:
         for row in (0, 1):
             c = np.sort(_cells(key, row, bits))
             c = c[np.append([True, True], c[2:] != c[:-2])] if len(c) > 2 else c  # two hits say as much as more
-            cut = np.searchsorted(c >> np.uint32(span), np.arange(RANGES + 1))
-            rows += [(row * RANGES + k, squeeze_sorted(c[a:b])) for k, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if b > a]
+            cut = np.searchsorted(c >> np.uint32(span), np.arange(ranges + 1))
+            rows += [(row * ranges + k, squeeze_sorted(c[a:b])) for k, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if b > a]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["part", "data"])
 
     def local(batches):
         w = Windows(n)
         for b in batches:
-            for _ in w.add(b, False):
+            for _ in w.add(b):
                 yield from out(w)
         yield from out(w)
 
@@ -131,18 +149,18 @@ def sketch(src: DataFrame, n: int, bits: int) -> list[bytes]:
         if now is not None:
             yield done()
 
-    hit = src.mapInArrow(local, "part int, data binary").repartition(2 * RANGES, "part").sortWithinPartitions("part")
-    table = [b""] * (2 * RANGES)
+    hit = src.mapInArrow(local, "part int, data binary").repartition(2 * ranges, "part").sortWithinPartitions("part")
+    table = [b""] * (2 * ranges)
     for r in hit.mapInArrow(merge, "part int, data binary").collect():  # bounded by the table's size
         table[r["part"]] = bytes(r["data"])
     return table
 
 
 class Table:
-    def __init__(self, parts: list[bytes], bits: int):
+    def __init__(self, parts: list[bytes], bits: int, ranges: int):
         self.bits = bits
-        size = (1 << bits) // RANGES // 8
-        self.rows = [np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(p, max_output_size=size), np.uint8) if p else np.zeros(size, np.uint8) for p in parts[r * RANGES : (r + 1) * RANGES]]) for r in (0, 1)]
+        size = (1 << bits) // ranges // 8
+        self.rows = [np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(p, max_output_size=size), np.uint8) if p else np.zeros(size, np.uint8) for p in parts[r * ranges : (r + 1) * ranges]]) for r in (0, 1)]
 
     def repeated(self, key: np.ndarray) -> np.ndarray:
         """Windows whose smallest counter is two or more."""
@@ -177,30 +195,35 @@ def _unspan(doc: bytes, gap: bytes) -> tuple[np.ndarray, np.ndarray]:
     return d, (total - np.repeat((total - g)[first], np.diff(np.append(first, len(d))))).astype(np.uint32)
 
 
-def repeated_places(src: DataFrame, n: int, bits: int) -> DataFrame:
+def later(ids: np.ndarray, key: np.ndarray, key2: np.ndarray) -> np.ndarray:
+    """Which windows stand in a document of larger id than another window of their two keys."""
+    order = np.lexsort((ids, key2, key))
+    new = np.ones(len(ids), bool)
+    new[1:] = (np.diff(key[order]) != 0) | (np.diff(key2[order]) != 0)
+    ids = ids[order]
+    gone = np.zeros(len(ids), bool)
+    gone[order] = ids > ids[np.flatnonzero(new)][np.cumsum(new) - 1]
+    return gone
+
+
+def repeated_places(src: DataFrame, n: int, width_bits: int) -> DataFrame:
     """(id, mark, places): per document the window places that also start in a document of smaller id."""
     spark = src.sparkSession
-    table = spark.sparkContext.broadcast((sketch(src, n, bits), bits))
+    shape = table_shape(src, width_bits)
+    table = spark.sparkContext.broadcast((sketch(src, n, *shape), *shape))
     shards = max(shuffle_partitions(spark), 2 * src.rdd.getNumPartitions())
 
     def ask(batches):
-        t, w, block = Table(*table.value), Windows(n), TaskContext.get().partitionId() << 24
+        w, block = Windows(n, Table(*table.value)), TaskContext.get().partitionId() << 24
 
         def out():
             nonlocal block
             if not w.size:
                 return
             key, key2, doc, place = (np.concatenate(x) for x in (w.key, w.key2, w.doc, w.place))
-            at = np.flatnonzero(t.repeated(key))
-            key, key2, doc, place = key[at], key2[at], doc[at], place[at]
+            w.key, w.key2, w.doc, w.place = [], [], [], []
             ids = np.array(w.ids, np.int64)
-            if not len(at):
-                return
-            order = np.lexsort((ids[doc], key2, key))
-            new = np.append([True], (np.diff(key[order]) != 0) | (np.diff(key2[order]) != 0))
-            least = ids[doc[order]][np.flatnonzero(new)][np.cumsum(new) - 1]
-            gone = np.zeros(len(at), bool)
-            gone[order] = ids[doc[order]] > least  # settled here
+            gone = later(ids[doc], key, key2)  # settled here
             rows = [(-1, block, ids.tobytes(), np.array(w.marks, np.int64).tobytes(), *_spans(doc[gone], place[gone]), b"", b"")]
             left = np.flatnonzero(~gone)
             shard = (mix64(key[left]) % U64(shards)).astype(np.int64)
@@ -216,7 +239,7 @@ def repeated_places(src: DataFrame, n: int, bits: int) -> DataFrame:
             block += 1
 
         for b in batches:
-            for _ in w.add(b, True):
+            for _ in w.add(b):
                 yield from out()
         yield from out()
 
@@ -228,11 +251,8 @@ def repeated_places(src: DataFrame, n: int, bits: int) -> DataFrame:
                 continue
             got = [_unspan(r[4], r[5]) for r in asked]
             docs = [np.frombuffer(r[2], np.int64)[d] for r, (d, _) in zip(asked, got, strict=True)]
-            doc, key, key2 = np.concatenate(docs), np.concatenate([np.frombuffer(r[6], U64) for r in asked]), np.concatenate([np.frombuffer(r[7], np.uint32) for r in asked])
-            order = np.lexsort((doc, key2, key))
-            new = np.append([True], (np.diff(key[order]) != 0) | (np.diff(key2[order]) != 0))
-            gone = np.zeros(len(doc), bool)
-            gone[order] = doc[order] > doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+            doc, key, key2 = np.concatenate(docs), np.concatenate([np.frombuffer(r[6], U64) for r in asked]), np.concatenate([np.frombuffer(r[7], U64) for r in asked])
+            gone = later(doc, key, key2)
             at = 0
             for r, (d, place) in zip(asked, got, strict=True):
                 x = gone[at : at + len(d)]
@@ -245,6 +265,8 @@ def repeated_places(src: DataFrame, n: int, bits: int) -> DataFrame:
             own = next(r for r in rows if r[0] < 0)
             ids, marks = np.frombuffer(own[2], np.int64), np.frombuffer(own[3], np.int64)
             got = [_unspan(r[4], r[5]) for r in rows if r[4]]
+            if not got:
+                continue
             doc, place = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
             order = np.lexsort((place, doc))
             doc, place = doc[order], place[order]
