@@ -50,8 +50,9 @@ def _thinned(batches):
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every id on an edge (a, b); component is the smallest id reachable.
 
-    Each round is two shuffles by id with sums of a row a key; a hub's edges are spread by the skew join. Rounds
-    grow with the logarithm of the longest path. Nulls and self-loops must be absent.
+    Each round is two shuffles by id whose sums are combined before they travel; the rows of a hub meet in joins
+    only, which adaptive execution may split. Rounds grow with the logarithm of the longest path. Nulls and
+    self-loops must be absent.
     """
     now = staged(edges.select("a", "b").mapInPandas(_thinned, "a long, b long").distinct(), "edges")
     before = None

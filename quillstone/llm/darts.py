@@ -8,9 +8,10 @@ their weighted Jaccard similarity. Cells are opened in order of rank until every
 is the larger of the number of shingles and k log k, and nothing depends on other documents.
 
 Coordinates are hashed in bands. Copies of one text are one class first; in a bucket, each class is compared
-with the bucket's least; classes of one bucket that are still in different components are then compared
-directly, unless the elements that only one of them has rule the pair out, so no pair that shares a band and
-could link goes untested. Links are verified on the whole shingle sets.
+with the bucket's least. Buckets that then still hold several components are cut into tiles, a block of classes
+against another, and a tile works its intersections out as matrix products and gives back links only: no pair
+that shares a band goes untested, and no pair becomes a row. A bucket's largest component is not compared with
+itself. Links are verified on the whole shingle sets.
 """
 
 from __future__ import annotations
@@ -24,12 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import U64, mix64, staged
-from quillstone.llm.components import components
+from quillstone.llm.components import Forest, components
+from quillstone.llm.tiles import by_key
 from quillstone.llm.wordhash import run_hashes, run_rows, word_hashes
 
 CELLS = 1 << 20  # hash cells worked on at once
 POISSON = np.array([2**64 * sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(12)]).clip(0, 2**64 - 2**12).astype(U64)
 GOLD = U64(0x9E3779B97F4A7C15)
+#: A block of a tile holds about so many classes and set elements; columns multiplied at once.
+BLOCK, BLOCK_ELEMENTS, COLUMNS = 512, 1 << 20, 4096
 
 
 def elements(per_row: np.ndarray, words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,9 +105,32 @@ def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
     return h
 
 
-def weighted_jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both) if both else 0.0
+def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i in left, j in right) of the sets whose Jaccard similarity reaches the threshold.
+
+    A set is an array of distinct elements. Elements of one set alone only count in its size; the others
+    become columns of a 0-1 matrix, some at a time.
+    """
+    size = np.array([len(x) for x in sets], np.int64)
+    element = np.concatenate(sets) if len(sets) else np.zeros(0, U64)
+    owner = np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(element, kind="stable")
+    element, owner = element[order], owner[order]
+    new = np.append([True], element[1:] != element[:-1]) if len(element) else np.zeros(0, bool)
+    again = np.zeros(len(element), bool)
+    again[1:] = ~new[1:]
+    again[:-1] |= ~new[1:]
+    column, owner = (np.cumsum(new) - 1)[again], owner[again]
+    column = np.cumsum(np.append([0], np.diff(column) != 0)) if len(column) else column
+    both = np.zeros((len(left), len(right)))
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (first, first + COLUMNS))
+        has = np.zeros((len(sets), int(column[b - 1]) - first + 1), np.float32)
+        has[owner[a:b], column[a:b] - first] = 1
+        both += has[left] @ has[right].T
+    near = both >= threshold * (size[left][:, None] + size[right][None, :] - both)
+    near &= both > 0
+    return np.nonzero(near)
 
 
 def near_duplicates(df: DataFrame, words: int = 5, threshold: float = 0.8, bands: int = 25, rows: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -113,8 +140,8 @@ def near_duplicates(df: DataFrame, words: int = 5, threshold: float = 0.8, bands
     taken as they are) is at least the threshold; equal texts always do, unless they hold no word. A row
     without words, or of null id, is linked to nothing and kept. mark is a digest of the text: rows of one id
     and different texts are told apart by it when compared, but share the id's component; repeated rows get
-    equal answers. An empty table gives no rows; other columns are not read. A pair at the threshold shares no
-    band with a probability below 1 in 20,000; nothing caps a bucket.
+    equal answers. Ids are whole numbers. An empty table gives no rows; other columns are not read. A pair at
+    the threshold shares no band with a probability below 1 in 20,000; nothing caps a bucket.
     """
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     src = src.select("id", F.xxhash64("text").alias("mark"), F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("digest"), "text")
@@ -133,55 +160,91 @@ def near_duplicates(df: DataFrame, words: int = 5, threshold: float = 0.8, bands
 
     signed = staged(src.mapInArrow(sign, "id long, mark long, digest string, n_words long, keys array<long>"), "signed")
     able = signed.where("id IS NOT NULL AND n_words > 0")
-    classes = staged(able.groupBy("digest").agg(F.min("id").alias("class"), F.first("n_words").alias("n"), F.first("keys").alias("keys")), "classes")
-    cells = classes.select(F.col("class").alias("doc"), F.col("n"), F.explode("keys").alias("key"))
+    size = F.greatest(F.first("n_words") - (words - 1), F.lit(1)).alias("n")
+    classes = staged(able.groupBy("digest").agg(F.min("id").alias("class"), size, F.first("keys").alias("keys")), "classes")
+    cells = classes.select(F.col("class").alias("doc"), "n", F.explode("keys").alias("key"))
     # a class with the same id as another (one id, two texts) is one document in the graph
     crowd = cells.groupBy("key").agg(F.min(F.struct("doc", "n")).alias("head"), F.max("doc").alias("last")).where("head.doc < last")
     shared = staged(cells.join(crowd.select("key", F.col("head.doc").alias("head"), F.col("head.n").alias("m")), "key"), "buckets")
+    sets = staged(_sets(src, shared.select(F.col("doc").alias("id")).distinct(), words), "sets")
     # the sizes alone rule a pair out
-    copies = [F.greatest(F.col(c) - (words - 1), F.lit(1)) for c in ("n", "m")]
-    tight = F.least(*copies) >= F.greatest(*copies) * (threshold - 1e-9)
-    stars = staged(shared.where("doc > head").where(tight).select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct(), "stars")
-    needed = shared.select(F.col("doc").alias("id")).distinct()
-    sets = staged(_sets(src, needed, words), "sets")
-    links = staged(_verified(stars, sets, threshold), "links")
-    found = components(links)
-    # what is left of a bucket: classes in different components that were not compared yet
-    rest = _mixed(shared.select("key", "doc", "n"), found)
-    alone = staged(_alone(sets.join(rest.select(F.col("doc").alias("id")).distinct(), "id", "left_semi")), "alone")
-    rest = staged(rest.join(alone.withColumnRenamed("id", "doc"), "doc").select("key", "doc", F.greatest(F.col("n") - (words - 1), F.lit(1)).alias("size"), "alone", "component"), "rest")
-    # first with the bucket's most ordinary member, the one with the fewest elements of its own
-    chief = rest.groupBy("key").agg(F.min(F.struct("alone", "doc", "size", "component")).alias("c")).select("key", *[F.col(f"c.{x}").alias(f"b_{x}") for x in ("alone", "doc", "size", "component")])
-    second = rest.join(chief, "key").where((F.col("component") != F.col("b_component")) & _possible(threshold))
-    second = second.select(F.least("doc", "b_doc").alias("a"), F.greatest("doc", "b_doc").alias("b")).distinct()
-    second = staged(second.join(stars, ["a", "b"], "left_anti"), "chiefs")
-    links = staged(links.unionByName(_verified(second, sets, threshold)), "links")
-    # then each with each; a pair stands in the first of the buckets that it shares
-    rest = staged(_mixed(rest.drop("component"), components(links)).join(classes.select(F.col("class").alias("doc"), "keys"), "doc"), "rest")
-    other = rest.select("key", *[F.col(x).alias(f"b_{x}") for x in ("doc", "size", "alone", "component", "keys")])
-    once = F.get(F.array_intersect("keys", "b_keys"), F.lit(0)) == F.col("key")
-    across = rest.join(other, "key").where((F.col("doc") < F.col("b_doc")) & (F.col("component") != F.col("b_component")) & _possible(threshold) & once)
-    across = across.select(F.col("doc").alias("a"), F.col("b_doc").alias("b")).distinct().join(stars.unionByName(second), ["a", "b"], "left_anti")
-    more = _verified(staged(across, "across"), sets, threshold)
-    final = components(links.unionByName(more)).withColumnRenamed("id", "class")
-    joined = signed.select("id", "mark", "digest", "n_words").join(classes.select("digest", "class"), "digest", "left").join(final, "class", "left")
-    home = F.when(F.col("id").isNull() | (F.col("n_words") == 0), F.col("id")).otherwise(F.coalesce("component", "class"))
+    tight = F.least("n", "m") >= F.greatest("n", "m") * (threshold - 1e-9)
+    stars = shared.where("doc > head").where(tight).groupBy("head", "doc").agg(F.max("n").alias("n"))
+    links = staged(_links(_star_tiles(staged(stars, "stars")), sets, threshold), "links")
+    found = staged(components(links), "parts")
+    named = shared.select("key", "doc", "n").join(found.withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    more = staged(_links(_bucket_tiles(staged(named, "named")), sets, threshold), "across")
+    tops = components(more).select(F.col("id").alias("own"), F.col("component").alias("top"))
+    joined = signed.select("id", "mark", "digest", "n_words").join(classes.select("digest", "class"), "digest", "left").join(found.withColumnRenamed("id", "class"), "class", "left")
+    joined = joined.withColumn("own", F.coalesce("component", "class")).join(tops, "own", "left")
+    home = F.when(F.col("id").isNull() | (F.col("n_words") == 0), F.col("id")).otherwise(F.coalesce("top", "own"))
     out = joined.select(F.col("id"), "mark", home.alias("component_id"), "n_words")
     return out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))).withColumnRenamed("id", id_col)
 
 
-def _mixed(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows (key, doc, ...) of the buckets that still hold several components, with the component."""
-    named = rows.join(found.withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    return named.join(several, "key")
+TILE = ["key", "lo", "hi"]
+
+
+def _blocks(count, elements):
+    """Blocks that hold so many classes of so many elements in all."""
+    return F.greatest(F.ceil(count / BLOCK), F.ceil(elements / BLOCK_ELEMENTS), F.lit(1)).cast("int")
+
 
+def _star_tiles(stars: DataFrame) -> DataFrame:
+    """(key, lo, hi, side, part, doc): each head against its members, a block of members a tile."""
+    heads = stars.groupBy("head").agg(_blocks(F.count("*"), F.sum("n")).alias("blocks"))
+    members = stars.join(heads, "head").select(F.col("head").alias("key"), F.lit(0).alias("lo"), F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int").alias("hi"), F.lit(1).alias("side"), F.col("doc").alias("part"), "doc")
+    own = heads.select(F.col("head").alias("key"), F.lit(0).alias("lo"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("hi"), F.lit(0).alias("side"), F.col("head").alias("part"), F.col("head").alias("doc"))
+    return members.unionByName(own)
+
+
+def _bucket_tiles(named: DataFrame) -> DataFrame:
+    """(key, lo, hi, side, part, doc): the buckets (key, doc, n, component) that hold several components.
+
+    Buckets of the same members are taken once. Classes outside the largest component are compared with one
+    another and with that component's; a bucket that fits in a block is one tile.
+    """
+    digest = F.xxhash64("doc")
+    parts = named.groupBy("key", "component").agg(F.count("*").alias("c"), F.sum("n").alias("e"), F.sum(digest.cast("decimal(38,0)")).alias("s"), F.bit_xor(digest).alias("x"))
+    largest = F.max(F.struct("c", "e", "component"))
+    buckets = parts.groupBy("key").agg(F.count("*").alias("parts"), F.sum("c").alias("c"), F.sum("e").alias("e"), F.sum("s").alias("s"), F.bit_xor("x").alias("x"), largest.alias("most")).where("parts > 1")
+    # equal members stand in equal components, so that equal buckets agree in all but the key
+    buckets = buckets.groupBy("c", "e", "s", "x", "most").agg(F.min("key").alias("key"))
+    small = (F.col("c") <= BLOCK) & (F.col("e") <= BLOCK_ELEMENTS)
+    rest = F.when(small, 1).otherwise(_blocks(F.col("c") - F.col("most.c"), F.col("e") - F.col("most.e"))).alias("rest")
+    main = F.when(small, 0).otherwise(_blocks(F.col("most.c"), F.col("most.e"))).alias("main")
+    rows = named.join(buckets.select("key", rest, main, F.col("most.component").alias("largest")), "key")
+    of_main = (F.col("component") == F.col("largest")) & (F.col("main") > 0)
+    own = F.when(of_main, F.col("rest") + F.pmod(F.xxhash64("doc"), F.greatest("main", F.lit(1)))).otherwise(F.pmod(F.xxhash64("doc"), F.col("rest"))).cast("int")
+    last = F.when(of_main, F.col("rest") - 1).otherwise(F.col("rest") + F.col("main") - 1)
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    lo = F.least("own", "other")
+    return rows.select("key", lo.alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > lo).cast("int").alias("side"), F.col("component").alias("part"), "doc")
+
+
+def _links(tiles: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): pairs of parts joined by a link between their classes, at most one less than a tile's parts.
+
+    A tile's classes of side 0 are compared with those of side 1, or with one another where there are none.
+    """
 
-def _possible(threshold: float):
-    """Whether two sets can reach the threshold, given how many elements each has that no other set has."""
-    most = F.least(F.col("size") - F.col("alone"), F.col("b_size") - F.col("b_alone"))
-    least = F.greatest(F.col("size") + F.col("b_alone"), F.col("b_size") + F.col("alone"))
-    return most >= least * (threshold - 1e-9)
+    def compare(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        side, part = t.column("side").to_numpy(), t.column("part").to_numpy()
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if not len(right):
+            right = left
+        each = [np.frombuffer(x.as_py(), U64) for x in t.column("set")]
+        i, j = linked(each, left, right, threshold)
+        forest = Forest()
+        for a, b in np.unique(np.stack([part[left[i]], part[right[j]]], axis=1), axis=0).tolist():
+            if a != b:
+                forest.join(a, b)
+        pairs = forest.edges()
+        return pairs["a"].to_numpy(), pairs["b"].to_numpy()
+
+    rows = tiles.join(sets.withColumnRenamed("id", "doc"), "doc").select(*TILE, "side", "part", "set")
+    dealt = rows.repartition(*TILE).sortWithinPartitions(*TILE)
+    return dealt.mapInArrow(by_key(len(TILE), compare, ("a", "b")), "a long, b long").distinct()
 
 
 def _sets(src: DataFrame, needed: DataFrame, words: int) -> DataFrame:
@@ -198,36 +261,3 @@ def _sets(src: DataFrame, needed: DataFrame, words: int) -> DataFrame:
 
     texts = src.join(needed, "id", "left_semi").select("id", "digest", "text").mapInArrow(run, "id long, digest string, set binary")
     return texts.dropDuplicates(["id", "digest"]).drop("digest")
-
-
-def _alone(sets: DataFrame) -> DataFrame:
-    """(id, alone): how many elements of an id's set no other id has; the least over its texts."""
-
-    def flat(batches):
-        for b in batches:
-            for k in range(0, len(b), 256):
-                part = b.slice(k, 256)
-                each = [np.frombuffer(x, np.int64) for x in part.column(1).to_pylist()]
-                rows = np.repeat(np.arange(len(part)), [len(x) for x in each])
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows)), pa.array(np.concatenate(each) if each else np.zeros(0, np.int64))], ["id", "element"])
-
-    elements_of = sets.select("id", "set").mapInArrow(flat, "id long, element long")
-    single = elements_of.groupBy("element").agg(F.min("id").alias("id"), F.max("id").alias("last")).where("id = last")
-    found = single.groupBy("id").agg(F.count("*").alias("alone"))
-    texts = sets.groupBy("id").agg(F.count("*").alias("texts"))
-    return texts.join(found, "id", "left").select("id", F.when(F.col("texts") == 1, F.coalesce("alone", F.lit(0))).otherwise(0).alias("alone"))
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold."""
-
-    def run(batches):
-        for b in batches:
-            x, y = b.column(2).to_pylist(), b.column(3).to_pylist()
-            ok = [weighted_jaccard(np.frombuffer(p, U64), np.frombuffer(q, U64)) >= threshold for p, q in zip(x, y, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    right = sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
-    left = sets.select(F.col("id").alias("a"), F.col("set").alias("x"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
-    return both.mapInArrow(run, "a long, b long").distinct()

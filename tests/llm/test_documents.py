@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from quillstone.llm import darts, queries, substrings
+from quillstone.llm import darts, queries, substrings, wordhash
 from quillstone.llm.common import U64, mix64
 from quillstone.llm.wordhash import run_hashes, run_rows, word_hashes
 from tests.llm.helpers import AWKWARD, LONG, documents
@@ -25,7 +25,7 @@ def test_word_hashes_see_words_as_the_pattern_does():
     hashes = np.concatenate([h for _, _, h in found])
     by_word = {}
     for w, h in zip([w for t in texts for w in words(t)], hashes.tolist(), strict=True):
-        assert by_word.setdefault(w, h) == h
+        assert by_word.setdefault(w, tuple(h)) == tuple(h)
     assert len(set(by_word.values())) == len(by_word)
 
 
@@ -33,7 +33,7 @@ def test_runs_stay_in_their_rows():
     per_row = np.array([3, 0, 1, 5])
     row, place = run_rows(per_row, 3)
     assert row.tolist() == [0, 3, 3, 3] and place.tolist() == [0, 0, 1, 2]
-    assert len(run_hashes(np.arange(2, dtype=U64), 3)) == 0
+    assert len(run_hashes(np.zeros((2, 2), U64), 3)) == 0
 
 
 def brute_cut(rows, n):
@@ -72,6 +72,38 @@ def test_repeats_against_brute_force(spark, monkeypatch):
             assert cut(documents(spark, rows).repartition(5), n, width_bits=bits) == brute_cut(rows, n)
 
 
+def thue_morse(k):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(1 << k))
+
+
+def test_long_words_that_cheap_hashes_confuse(spark):
+    """Sums of letters times powers modulo 2^64 can't tell these two words apart."""
+    word = thue_morse(11)
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, " ".join([*map(str, range(6)), word, *map(str, range(6, 12))])), (2, " ".join([*map(str, range(6)), other, *map(str, range(6, 12))]))]
+    assert cut(documents(spark, rows), 13) == brute_cut(rows, 13)
+    short = [(1, f"a b c d {word}"), (2, f"a b c d {other}"), (3, f"a b c d {word}")]
+    assert {r.doc_id: r.component_id for r in darts.near_duplicates(documents(spark, short)).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_words_across_slices(monkeypatch):
+    monkeypatch.setattr(wordhash, "SLICE_BYTES", 7)
+    texts = [*AWKWARD, "a" * 30 + " b", "  x  ", " y" * 40]
+    got = list(word_hashes(pa.array(texts)))
+    assert np.concatenate([n for _, n, _ in got]).tolist() == [len(words(t)) for t in texts]
+    lanes = np.concatenate([h for _, _, h in got])
+    monkeypatch.undo()
+    assert (lanes == np.concatenate([h for _, _, h in word_hashes(pa.array(texts))])).all()
+
+
+def test_repeats_that_only_other_blocks_show(spark):
+    """No block settles a window by itself: two partitions, or a document that repeats its own passage."""
+    text = " ".join(f"w{k}" for k in range(20))
+    for rows, parts in (([(1, text), (2, text)], 2), ([(1, f"{text} {text}")], 1), ([(5, text), (4, "x"), (3, "")], 3)):
+        df = documents(spark, rows).repartitionByRange(parts, "doc_id")
+        assert cut(df, 13) == brute_cut(rows, 13)
+
+
 def test_repeats_in_small_blocks(spark):
     rows = [(k, " ".join(f"w{(k * 13 + j) % 50}" for j in range(40))) for k in range(60)]
     assert cut(documents(spark, rows).repartition(9), 5) == brute_cut(rows, 5)
@@ -152,6 +184,30 @@ def test_near_duplicates_large_group(spark):
     assert {r.doc_id: r.component_id for r in darts.near_duplicates(documents(spark, rows)).collect()} == brute_groups(rows)
 
 
+def test_linked_sets_against_brute_force(monkeypatch):
+    monkeypatch.setattr(darts, "COLUMNS", 7)
+    rng = np.random.RandomState(3)
+    sets = [np.sort(rng.choice(60, rng.randint(0, 40), replace=False)).astype(U64) for _ in range(40)]
+    left, right = np.arange(0, 25), np.arange(10, 40)
+    i, j = darts.linked(sets, left, right, 0.5)
+    want = {(int(a), int(b)) for a in left for b in right if len(sets[a]) and len(set(sets[a]) & set(sets[b])) >= 0.5 * len(set(sets[a]) | set(sets[b]))}
+    assert {(int(left[a]), int(right[b])) for a, b in zip(i, j, strict=True)} == want
+
+
+def test_near_duplicates_in_small_tiles(spark, monkeypatch):
+    """Buckets of several components, cut into many tiles; links stand between blocks, components and tiles."""
+    monkeypatch.setattr(darts, "BLOCK", 6)
+    rng = random.Random(5)
+    base = [f"b{k}" for k in range(100)]
+    rows = []
+    for k in range(90):
+        w = list(base)
+        for _ in range(rng.choice([1, 2, 2, 3])):
+            w[rng.randrange(100)] = f"r{k % 40}"
+        rows.append((k * 37 % 90, " ".join(w)))
+    assert {r.doc_id: r.component_id for r in darts.near_duplicates(documents(spark, rows)).collect()} == brute_groups(rows)
+
+
 def test_near_duplicates_rows(spark):
     rows = [(5, "one two three four five six"), (5, "one two three four five six"), (4, "one two three four five six"), (None, "one two three four five six"), (8, ""), (9, ""), (10, None)]
     out = darts.near_duplicates(documents(spark, rows)).collect()
