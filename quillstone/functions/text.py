@@ -108,8 +108,10 @@ def clean_for_ngrams(c: Column) -> Column:
 
 
 def ngrams(c: Column, n: int) -> Column:
-    """Distinct character n-grams of a text, in one pass of a looking-ahead pattern; none if it is shorter than n."""
-    return F.array_distinct(F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))"), 1))
+    """Distinct n-grams of a text's code points; none if it is shorter than n."""
+    last = F.char_length(c) - n + 1
+    starts = F.when(last > 0, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(c, i, F.lit(n))))
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 
@@ -10,13 +11,15 @@ from pyspark.sql import DataFrame
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """df computed once and kept in the folder of spark.checkpoint.dir (a temporary one where that is unset).
+    """df computed once and kept in the folder of spark.checkpoint.dir; a temporary one in local mode only.
 
     Reliable checkpoints survive lost executors, and stop the planner from working an expensive column out
     again for each of its uses.
     """
     spark = df.sparkSession
     if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         own = tempfile.mkdtemp(prefix="quillstone-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(own)
