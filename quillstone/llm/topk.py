@@ -1,129 +1,209 @@
 """Exact top-k inner-product search by the threshold algorithm over sorted per-dimension lists.
 
-Rows are cut into blocks; each block keeps one list of its rows per dimension, sorted by that component. A
-query walks the lists of its non-zero dimensions together, from the top where its weight is positive and
-from the bottom where it is negative, scores every row it meets, and stops when the sum of the list heads
-(no unseen row can score more) is below the kth score held so far. Queries travel in blocks too, and
-(query block, row block) pairs meet by an equi-join on (query block, lane): no cross join, and the work of
-one query block is spread over many tasks.
+Rows are cut into blocks. A block keeps one list of its rows per dimension, sorted by that component; a query
+walks the lists of its non-zero dimensions together, from the top where its weight is positive and from the
+bottom where it is negative. Every row met is scored, and the walk stops when the sum of the list heads (no
+unseen row can score more) is below the kth score held so far.
+
+All queries of a query block walk a block's lists at once, both ends of each list: which rows are met down to a
+depth is then the same for all, so a block stores its rows in the order in which they are met, and the heads of
+its lists at each depth. One step is a matrix product for the queries that still walk. Query blocks and lanes of
+row blocks meet by an equi-join, a bounded number of row blocks a task: no cross join.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ROW_BLOCK, QUERY_BLOCK, FIRST_DEPTH = 4096, 512, 32
+ROW_BLOCK, QUERY_BLOCK, FIRST_DEPTH = 4096, 4096, 32
+#: Row blocks of a lane: what a task holds of the rows.
+LANE = 8
+LONGEST = (-(1 << 63), (1 << 63) - 1)
 
 
-def threshold_search(q: np.ndarray, v: np.ndarray, ids: np.ndarray, order: np.ndarray, k: int, own, held: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The k best (score, id) of `held` and the rows of one block, ties to smaller id; own's row is left out.
+def whole(v: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x) of doubles: doubles that are whole numbers, or Python integers where doubles overflow."""
+    with np.errstate(over="ignore"):
+        out = np.floor(v * scale)
+    if np.isfinite(out).all():
+        return out
+    return np.array([math.floor(x * scale) if math.isfinite(x * scale) else int(x) * scale for x in v.ravel().tolist()], object).reshape(v.shape)
 
-    v: rows by dimensions; order: row numbers sorted per dimension, ascending; q, v in a dtype whose sums are exact.
-    """
-    n = len(v)
-    up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
-    seen = ids == own
-    best = list(held)
-    depth, step = 0, FIRST_DEPTH
-    while depth < n:
-        to = min(n, depth + step)
-        met = np.unique(np.concatenate([order[n - to : n - depth, up].ravel(), order[depth:to, down].ravel()])) if len(up) + len(down) else np.arange(n)
-        met = met[~seen[met]]
-        seen[met] = True
-        if len(met):
-            score = v[met] @ q
-            if len(met) > k:
-                kth = np.partition(score, len(met) - k)[len(met) - k]
-                met, score = met[score >= kth], score[score >= kth]
-            best = sorted([*best, *((-int(s), int(i)) for s, i in zip(score, ids[met], strict=True))])[:k]
-        if not len(up) + len(down):
-            break
-        bound = q[up] @ v[order[n - to, up], up] + q[down] @ v[order[to - 1, down], down]
-        if len(best) == k and bound < -best[-1][0]:
-            break
-        depth, step = to, step * 2
-    return best
-
-
-def _block(pdf: pd.DataFrame, dim: int, value: str) -> tuple[np.ndarray, np.ndarray]:
-    return pdf["vec_id"].to_numpy(np.int64), np.stack(pdf[value].to_numpy()).reshape(len(pdf), dim).astype(np.int64)
-
-
-def exact(q: np.ndarray, v: np.ndarray) -> type:
-    """Doubles where every partial sum stays below 2^53, else Python integers."""
-    top = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * q.shape[-1]
-    return np.float64 if top < 2.0**53 else object
 
+def integers(v: np.ndarray) -> np.ndarray:
+    """Whole doubles as Python integers, exactly."""
+    return np.array([int(x) for x in v.ravel().tolist()], object).reshape(v.shape)
 
-def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(vec_id, dim, ints): floor(scale * x) of each component in double; only whole, finite vectors."""
+
+def exact(q: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Doubles where every partial sum stays below 2^53, else Python integers."""
+    if q.dtype != object and v.dtype != object:
+        top = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * q.shape[-1]
+        if top < 2.0**53:
+            return q, v
+    return integers(q), integers(v)
+
+
+def depths(n: int) -> list[int]:
+    """Depths at which a walk of n rows pauses; the last is n."""
+    out, step = [], FIRST_DEPTH
+    while not out or out[-1] < n:
+        out.append(min(n, (out[-1] if out else 0) + step))
+        step *= 2
+    return out
+
+
+class Lists:
+    """A block's rows in the order in which walks from both ends of its sorted lists meet them."""
+
+    def __init__(self, ids: np.ndarray, v: np.ndarray):
+        n = len(ids)
+        order = np.argsort(v, axis=0, kind="stable")
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.arange(n)[:, None], axis=0)
+        met = np.minimum(rank, n - 1 - rank).min(axis=1)  # the depth before the one at which a row is met
+        by = np.lexsort((ids, met))
+        self.ids, self.v, self.depths = ids[by], v[by], depths(n)
+        self.until = np.searchsorted(met[by], self.depths)
+        self.heads = [(np.take_along_axis(v, order[n - d : n - d + 1], 0)[0], np.take_along_axis(v, order[d - 1 : d], 0)[0]) for d in self.depths]
+
+
+    @classmethod
+    def read(cls, ids: bytes, v: bytes, until: bytes, heads: bytes, dim: int, scale: int) -> Lists:
+        """A stored block, its components made whole; floor keeps the order of the lists."""
+        self = cls.__new__(cls)
+        self.ids = np.frombuffer(ids, np.int64)
+        self.v = whole(np.frombuffer(v, np.float64).reshape(len(self.ids), dim), scale)
+        self.depths, self.until = depths(len(self.ids)), np.frombuffer(until, np.int64)
+        self.heads = list(whole(np.frombuffer(heads, np.float64).reshape(-1, 2, dim), scale))
+        return self
+
+
+class Best:
+    """The k best (score, id) of each query, the best first; ties to the smaller id."""
+
+    def __init__(self, queries: int, k: int):
+        self.k = k
+        self.held: list[list[tuple]] = [[] for _ in range(queries)]
+
+    def kth(self, i: int):
+        """The score that a row must reach to be held; None while fewer than k are."""
+        return -self.held[i][-1][0] if len(self.held[i]) == self.k else None
+
+    def take(self, which: np.ndarray, score: np.ndarray, ids: np.ndarray, none) -> None:
+        """Scores of rows (columns) for some queries (rows); `none` marks a row that is left out."""
+        m, peak = len(ids), score.max(axis=1)
+        kths = [self.kth(i) for i in which.tolist()]
+        news = np.flatnonzero([p > none and (t is None or p >= t) for p, t in zip(peak.tolist(), kths, strict=True)])
+        if not len(news):
+            return
+        top = np.partition(score[news], m - self.k, axis=1)[:, m - self.k] if m > self.k else score[news].min(axis=1)
+        for r, least in zip(news.tolist(), top.tolist(), strict=True):
+            i, kth = int(which[r]), kths[r]
+            some = np.flatnonzero((score[r] >= (least if kth is None else max(least, kth))) & (score[r] > none))
+            self.held[i] = sorted([*self.held[i], *((-int(score[r, c]), int(ids[c])) for c in some)])[: self.k]
+
+
+def threshold_search(qids: np.ndarray, q: np.ndarray, lists: Lists, best: Best) -> None:
+    """Walk a block's lists for all queries, who give their best so far; a query's own row is left out."""
+    q, v = exact(q, lists.v)
+    low_score = -np.inf if q.dtype != object else -(1 << 4096)
+    up, down = np.where(q > 0, q, 0), np.where(q < 0, q, 0)
+    walking, at = np.arange(len(q)), 0
+    for d, to, (high, low) in zip(lists.depths, lists.until.tolist(), lists.heads, strict=True):
+        if to > at:
+            ids = lists.ids[at:to]
+            score = q[walking] @ v[at:to].T
+            for c in np.flatnonzero(np.isin(ids, qids)):
+                score[qids[walking] == ids[c], c] = low_score
+            best.take(walking, score, ids, low_score)
+            at = to
+        if d == len(lists.ids):
+            return
+        if q.dtype == object:
+            high, low = integers(high), integers(low)
+        bound = up[walking] @ high + down[walking] @ low
+        kth = [best.kth(i) for i in walking.tolist()]
+        walking = walking[[t is None or b >= t for b, t in zip(bound.tolist(), kth, strict=True)]]
+        if not len(walking):
+            return
+
+
+def vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(vec_id, dim, v): only whole, finite vectors, as doubles."""
     v = F.col(vector_col).cast("array<double>")
-    ok = F.col(id_col).isNotNull() & v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(2.0**40)))
-    return df.where(ok).select(F.col(id_col).cast("long").alias("vec_id"), F.size(v).alias("dim"), F.transform(v, lambda x: F.floor(x * scale).cast("long")).alias("ints"))
+    ok = F.col(id_col).isNotNull() & v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return df.where(ok).select(F.col(id_col).cast("long").alias("vec_id"), F.size(v).alias("dim"), v.alias("v"))
 
 
 def top_k(df: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by `every`, its k best other rows.
 
-    Vectors that are null or empty, hold null or non-finite components (or one of 2^40 and more), or have a
-    null id take no part. Vectors of different lengths are not compared. An id names its row: rows that repeat
-    the query's id count as its own; a query id that repeats is answered once, for its smallest vector; other
-    repeated rows are each a candidate. All ties are broken by smaller id; fewer than k rows give fewer ranks.
-    An empty table gives no rows. Other columns are not read.
+    Components become floor(scale * x). Vectors that are null or empty, hold null or non-finite components, or
+    have a null id take no part. Vectors of different lengths are not compared. Ids are whole numbers and an id
+    names its row: rows that repeat the query's id count as its own; a query id that repeats is answered once,
+    for its smallest vector; other repeated rows are each a candidate. All ties are broken by smaller id; fewer
+    than k rows give fewer ranks. Scores are exact integers while ranking, whatever their size; one beyond a long
+    is given as the nearest long. An empty table gives no rows. Other columns are not read.
     """
     spark = df.sparkSession
-    rows = integer_vectors(df, id_col, vector_col, scale)
-    queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id", "dim").agg(F.min("ints").alias("ints"))
-    # the number of queries sets the number of blocks; only the counts come to the driver
-    sizes = queries.groupBy("dim").count().collect()
-    blocks = {r["dim"]: -(-r["count"] // QUERY_BLOCK) for r in sizes}
-    lanes = max(1, min(64, 4 * spark.sparkContext.defaultParallelism // max(1, sum(blocks.values()))))
-    if not blocks:
+    rows = vectors(df, id_col, vector_col)
+    queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id", "dim").agg(F.min("v").alias("v"))
+    # rows and queries of a length set the numbers of lanes and of query blocks; only counts come to the driver
+    sizes = rows.groupBy("dim").agg(F.count("*").alias("rows"), F.count_if(F.col("vec_id") % every == 0).alias("queries")).where("queries > 0").collect()
+    if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    shape = spark.createDataFrame([(r["dim"], -(-r["rows"] // (ROW_BLOCK * LANE)), -(-r["queries"] // QUERY_BLOCK)) for r in sizes], "dim int, lanes int, blocks int")
 
     def row_blocks(batches):
-        held: dict[int, list] = {}
-        sent = 0
+        """Blocks within a lane's sorted rows: one row of (lane, lists) each."""
+        held: list[pd.DataFrame] = []
         for pdf in batches:
-            for dim, part in pdf.groupby("dim"):
-                mine = held.setdefault(int(dim), [])
-                mine.append(_block(part, int(dim), "ints"))
-                if sum(len(i) for i, _ in mine) >= ROW_BLOCK:
-                    yield pack(int(dim), held.pop(int(dim)), sent)
-                    sent += 1
-        for dim, mine in held.items():
-            yield pack(dim, mine, sent)
-            sent += 1
-
-    def pack(dim, mine, sent):
-        ids, v = np.concatenate([i for i, _ in mine]), np.concatenate([x for _, x in mine])
-        return pd.DataFrame({"dim": [dim], "salt": [int(ids[0]) * 31 + sent], "ids": [ids.tobytes()], "v": [v.tobytes()]})
-
-    per_dim = F.create_map(*[F.lit(x) for d, n in blocks.items() for x in (d, n)])
-    vb = rows.mapInPandas(row_blocks, "dim int, salt long, ids binary, v binary").where(F.col("dim").isin(list(blocks)))
-    vb = vb.withColumn("lane", F.pmod(F.xxhash64("salt"), F.lit(lanes)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), (per_dim[F.col("dim")] - 1).cast("int"))))
-    numbered = queries.withColumn("qb", F.pmod(F.xxhash64("vec_id"), per_dim[F.col("dim")]).cast("int")).withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+            for key, part in pdf.groupby(["dim", "lane"], sort=False):
+                for at in range(0, len(part), ROW_BLOCK):
+                    if held and (key != (held[0]["dim"].iat[0], held[0]["lane"].iat[0]) or sum(map(len, held)) >= ROW_BLOCK):
+                        yield packed(held)
+                        held = []
+                    held.append(part.iloc[at : at + ROW_BLOCK])
+        if held:
+            yield packed(held)
+
+    def packed(held):
+        pdf = pd.concat(held)
+        v = np.stack(pdf["v"].to_numpy()).astype(np.float64)
+        lists = Lists(pdf["vec_id"].to_numpy(np.int64), v)
+        heads = np.array(lists.heads)
+        blob = [np.ascontiguousarray(x).tobytes() for x in (lists.ids, lists.v, lists.until, heads)]
+        return pd.DataFrame({"dim": pdf["dim"].iat[0], "lane": pdf["lane"].iat[0], "ids": [blob[0]], "v": [blob[1]], "until": [blob[2]], "heads": [blob[3]]})
+
+    lane = F.pmod(F.xxhash64("vec_id", "v"), F.col("lanes")).cast("int")
+    dealt = rows.join(shape, "dim").select("dim", lane.alias("lane"), "vec_id", "v").repartition("dim", "lane").sortWithinPartitions("dim", "lane")
+    lists = dealt.mapInPandas(row_blocks, "dim int, lane int, ids binary, v binary, until binary, heads binary")
+    blocks = lists.join(shape, "dim").withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("lanes", "blocks")
+    asked = queries.join(shape, "dim").withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).withColumn("lane", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)))
 
     def search(key, qs, vs):
         dim = int(key[0])
         if not len(qs) or not len(vs):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        qid, q = _block(qs, dim, "ints")
-        held: dict[int, list] = {int(i): [] for i in qid}
-        for ids, v in zip(vs["ids"], vs["v"], strict=True):
-            ids = np.frombuffer(ids, np.int64)
-            v = np.frombuffer(v, np.int64).reshape(len(ids), dim)
-            order, kind = np.argsort(v, axis=0, kind="stable"), exact(q, v)
-            vx, qx = v.astype(kind), q.astype(kind)
-            for i, w in zip(qid, qx, strict=True):
-                held[int(i)] = threshold_search(w, vx, ids, order, k, i, held[int(i)])
-        out = [(i, b, -s) for i, best in held.items() for s, b in best]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
+            return pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0, object)})
+        qids, q = qs["vec_id"].to_numpy(np.int64), whole(np.stack(qs["v"].to_numpy()).astype(np.float64), scale)
+        best = Best(len(qids), k)
+        for ids, v, until, heads in zip(vs["ids"], vs["v"], vs["until"], vs["heads"], strict=True):
+            threshold_search(qids, q, Lists.read(ids, v, until, heads, dim, scale), best)
+        out = [(i, -s, c) for i, held in zip(qids.tolist(), best.held, strict=True) for s, c in held]
+        return pd.DataFrame({"query_id": [x[0] for x in out], "vec_id": [x[2] for x in out], "score": [str(x[1]) for x in out]})
 
     key = ["dim", "qb", "lane"]
-    found = numbered.groupBy(*key).cogroup(vb.groupBy(*key)).applyInPandas(search, "query_id long, vec_id long, score long")
-    by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = asked.select(*key, "vec_id", "v").groupBy(*key).cogroup(blocks.groupBy(*key)).applyInPandas(search, "query_id long, vec_id long, score string")
+    # integers of any size in order: sign, number of digits, digits
+    minus, digits = F.col("score").startswith("-"), F.ltrim(F.col("score"), F.lit("-"))
+    size = F.when(minus, -F.length(digits)).otherwise(F.length(digits))
+    value = F.coalesce(F.expr("try_cast(score AS long)"), F.when(minus, F.lit(LONGEST[0])).otherwise(F.lit(LONGEST[1])))
+    by = Window.partitionBy("query_id").orderBy(F.desc("size"), F.desc("value"), F.desc("up"), "down", "vec_id")
+    ranked = found.select("query_id", "vec_id", size.alias("size"), value.alias("value"), F.when(~minus, digits).alias("up"), F.when(minus, digits).alias("down"))
+    return ranked.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", F.col("value").alias("score"))
