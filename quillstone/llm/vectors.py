@@ -14,14 +14,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import shuffle_partitions, staged
 from quillstone.llm.components import Forest, components
+from quillstone.llm.tiles import by_key
 
-BITS, CHUNK, BLOCK, CELL = 48, 1024, 512, 1024
+BITS, CHUNK = 48, 1024
+#: A block of a tile holds about so many vectors, and components.
+BLOCK, BLOCK_COMPONENTS = 8192, 1 << 22
 
 
 def hyperplanes(dim: int, index: int) -> np.ndarray:
@@ -59,9 +63,10 @@ def vector_duplicates(df: DataFrame, threshold: float = 0.98, passes: int = 12,
     Rows link if their labels are equal and not null, their vectors have one length, and their cosine in double
     precision is at least the threshold. A vector that is null, empty or zero or holds null or non-finite
     components, a null label or a null id links with nothing: n_links 0, its own component, kept. Equal vectors
-    of one label are one class while searching and count as links of one another. n_links counts other ids; a
-    repeated row gives an equal answer. An empty table gives no rows; other columns are not read. No link is
-    missed, whatever the passes bring together: they only save the exact comparison links to give back.
+    of one label are one class while searching and count as links of one another. n_links counts other (id,
+    vector) pairs: rows of one id and different vectors are told apart, repeated rows count once and give equal
+    answers. Ids are whole numbers. An empty table gives no rows; other columns are not read. No link is missed,
+    whatever the passes bring together: they only save the exact comparison links to give back.
     """
     spark = df.sparkSession
     v = F.col(vector_col).cast("array<double>")
@@ -77,7 +82,8 @@ def vector_duplicates(df: DataFrame, threshold: float = 0.98, passes: int = 12,
             yield pdf
 
     grouped = src.where("able").groupBy("label", "h1", "h2").agg(F.min("id").alias("id"), F.count_distinct("id").alias("copies"), F.min("v").alias("v"))
-    classes = staged(grouped.select("h1", "h2", "id", "copies", "label", F.size("v").alias("dim"), "v").mapInPandas(pack, f"h1 long, h2 int, id long, copies long, label {label}, dim int, v binary"), "vectors")
+    packed = grouped.select("h1", "h2", "id", "copies", "label", F.size("v").alias("dim"), "v").mapInPandas(pack, f"h1 long, h2 int, id long, copies long, label {label}, dim int, v binary")
+    classes = staged(packed.withColumn("node", F.monotonically_increasing_id()), "vectors")
 
     def keys(batches):
         for pdf in batches:
@@ -89,7 +95,7 @@ def vector_duplicates(df: DataFrame, threshold: float = 0.98, passes: int = 12,
 
     shape = f"pass int, label {label}, dim int, key long, id long, v binary"
     order = ["pass", "label", "dim", "key", "id"]
-    runs = classes.select("id", "label", "dim", "v").mapInPandas(keys, shape).repartitionByRange(4 * shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+    runs = classes.select(F.col("node").alias("id"), "label", "dim", "v").mapInPandas(keys, shape).repartitionByRange(4 * shuffle_partitions(spark), *order).sortWithinPartitions(*order)
 
     def compare(batches):
         """Links inside a run; its first and last rows come out too, to be compared across the border."""
@@ -127,9 +133,11 @@ def vector_duplicates(df: DataFrame, threshold: float = 0.98, passes: int = 12,
     missed = staged(_missed_links(classes, parts, threshold), "missed")
     if not missed.isEmpty():
         parts = components(parts.where("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(missed))
-    counts = _link_counts(classes, parts, threshold)
-    joined = classes.select("h1", "h2", "id", "copies").join(parts, "id", "left").join(counts, "id", "left")
-    answers = joined.select("h1", "h2", F.coalesce("component", "id").alias("component"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
+    named = classes.select("node", "h1", "h2", "id", "copies", "dim", "v").join(parts.withColumnRenamed("id", "node"), "node", "left")
+    homes = named.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("home"))
+    counts = _link_counts(named, threshold)
+    joined = named.drop("v").join(homes, "component", "left").join(counts, "node", "left")
+    answers = joined.select("h1", "h2", F.coalesce("home", "id").alias("component"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
     rows = src.select("id", F.when(F.col("able"), F.col("h1")).alias("h1"), F.when(F.col("able"), F.col("h2")).alias("h2"))
     out = rows.join(answers, ["h1", "h2"], "left").select("id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))).withColumnRenamed("id", id_col)
@@ -154,68 +162,69 @@ def _sweep(pdf: pd.DataFrame, first: int, window: int, threshold: float, found:
                 found.join(int(ids[a + i]), int(ids[a + j]))
 
 
-def _missed_links(classes: DataFrame, parts: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): pairs of components that a link between their members joins; all vectors of a label are compared."""
-    groups = classes.groupBy("label", "dim").agg(F.min("id").alias("group"), F.ceil(F.count("*") / CELL).cast("int").alias("blocks"))
-    members = classes.select("id", "label", "dim", "v").join(parts, "id", "left").join(groups, ["label", "dim"])
-    members = members.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    blocks = members.select("group", "dim", F.xxhash64("label").alias("mark"), F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", F.coalesce("component", "id").alias("component"), "v")
-    key = ["group", "dim", "mark", "lo", "hi"]
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        u, part, first = unit(_stack(rows["v"])), rows["component"].to_numpy(), rows["own"].to_numpy() == rows["lo"].iat[0]
-        if rows["lo"].iat[0] == rows["hi"].iat[0]:
-            left = right = np.arange(len(u))
-        else:
-            left, right = np.flatnonzero(first), np.flatnonzero(~first)
-        found = [np.empty((0, 2), np.int64)]
-        for k in range(0, len(left), CHUNK):
-            i, j = np.nonzero(u[left[k : k + CHUNK]] @ u[right].T >= threshold)
-            pairs = np.sort(np.stack([part[left[k + i]], part[right[j]]], axis=1), axis=1)
-            found.append(np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+def _blocks(rows, dim):
+    """Blocks that hold so many vectors."""
+    most = F.least(F.lit(BLOCK), F.greatest(F.floor(F.lit(BLOCK_COMPONENTS) / dim), F.lit(256)))
+    return F.ceil(rows / most).cast("int")
 
-    dealt = blocks.repartition(*key).sortWithinPartitions(*key)
-    return dealt.mapInPandas(_by_key(key, compare), "a long, b long").distinct()
 
+def _tiles(members: DataFrame) -> DataFrame:
+    """Rows of a group dealt to its tiles (group, lo, hi): every pair of blocks, a block with itself too."""
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    rows = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    lo, hi = F.least("own", "other"), F.greatest("own", "other")
+    out = rows.select("group", lo.alias("lo"), hi.alias("hi"), (F.col("own") > lo).alias("second"), "node", "part", "copies", "v")
+    return out.repartition("group", "lo", "hi").sortWithinPartitions("group", "lo", "hi")
 
-def _by_key(key: list[str], work):
-    """Apply work to the rows of each key in turn; batches come sorted by the key."""
 
-    def run(batches):
-        held = None
-        for pdf in batches:
-            both = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            if not len(both):
-                continue
-            same = (both[key] == both[key].iloc[-1]).all(axis=1).to_numpy()
-            held = both[same]
-            done = both[~same]
-            out = [work(g) for _, g in done.groupby(key, sort=False)]
-            if out:
-                yield pd.concat(out, ignore_index=True)
-        if held is not None and len(held):
-            yield work(held)
-
-    return run
-
-
-def _link_counts(classes: DataFrame, parts: DataFrame, threshold: float) -> DataFrame:
-    """(id, links): per class, the ids of other classes of its component whose cosine reaches the threshold."""
-    sizes = parts.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    members = classes.select("id", "copies", "v", "label").join(parts, "id").join(sizes, "component")
-    members = members.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    blocks = members.select("component", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id", "copies", "v")
-    key = ["component", "lo", "hi"]
-
-    def count(rows: pd.DataFrame) -> pd.DataFrame:
-        u, n, own, lo, hi = unit(_stack(rows["v"])), rows["copies"].to_numpy(), rows["own"].to_numpy(), rows["lo"].iat[0], rows["hi"].iat[0]
-        near = u @ u.T >= threshold
-        np.fill_diagonal(near, False)
-        if lo != hi:
-            near &= own[:, None] != own[None, :]
-        return pd.DataFrame({"id": rows["id"].to_numpy(), "links": near @ n})
-
-    dealt = blocks.repartition(*key).sortWithinPartitions(*key)
-    return dealt.mapInPandas(_by_key(key, count), "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
+def _sides(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    """Unit vectors of a tile, the places of both sides (the same twice for a block with itself), other columns."""
+    u = unit(_stack(t.column("v").to_pylist()))
+    second = t.column("second").to_numpy()
+    left = right = np.arange(len(u))
+    if t.column("lo")[0] != t.column("hi")[0]:
+        left, right = np.flatnonzero(~second), np.flatnonzero(second)
+    return u, left, right, {c: t.column(c).to_numpy() for c in ("node", "part", "copies")}
+
+
+def _missed_links(classes: DataFrame, parts: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): pairs of components that a link between their members joins; all vectors of a label are compared."""
+    groups = classes.groupBy("label", "dim").agg(F.min("node").alias("group"), F.count("*").alias("n"))
+    groups = groups.select("label", "dim", "group", _blocks(F.col("n"), F.col("dim")).alias("blocks"))
+    members = classes.join(parts.withColumnRenamed("id", "node"), "node", "left").join(groups, ["label", "dim"]).withColumn("part", F.coalesce("component", "node"))
+
+    def compare(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        u, left, right, c = _sides(t)
+        part, found = c["part"], Forest()
+        for k in range(0, len(left), CHUNK):
+            some = left[k : k + CHUNK]
+            near = (u[some] @ u[right].T >= threshold) & (part[some][:, None] != part[right][None, :])
+            i, j = np.nonzero(near)
+            for a, b in np.unique(np.stack([part[some[i]], part[right[j]]], axis=1), axis=0).tolist():
+                found.join(a, b)
+        pairs = found.edges()
+        return pairs["a"].to_numpy(), pairs["b"].to_numpy()
+
+    return _tiles(members).mapInArrow(by_key(3, compare, ("a", "b")), "a long, b long").distinct()
+
+
+def _link_counts(named: DataFrame, threshold: float) -> DataFrame:
+    """(node, links): per class, the rows of other classes of its component whose cosine reaches the threshold."""
+    members = named.where("component IS NOT NULL")
+    sizes = members.groupBy("component").agg(F.count("*").alias("n"), F.max("dim").alias("dim"))
+    sizes = sizes.select("component", _blocks(F.col("n"), F.col("dim")).alias("blocks"))
+    members = members.join(sizes, "component").withColumn("group", F.col("component")).withColumn("part", F.col("component"))
+
+    def count(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        u, left, right, c = _sides(t)
+        copies, links = c["copies"], np.zeros(len(u), np.int64)
+        for k in range(0, len(left), CHUNK):
+            some = left[k : k + CHUNK]
+            near = u[some] @ u[right].T >= threshold
+            near &= some[:, None] != right[None, :]
+            links[some] += near @ copies[right]
+            if left is not right:
+                links[right] += copies[some] @ near
+        return c["node"], links
+
+    return _tiles(members).mapInArrow(by_key(3, count, ("node", "links")), "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))

@@ -9,31 +9,54 @@ from tests.llm.helpers import vectors as table
 from tests.oracle import compare, connect
 
 
+def search(v, q, ids, qids, k, scale=1, cuts=()):
+    """Best of several queries over a block, or over the blocks between cuts."""
+    best = topk.Best(len(q), k)
+    edges = [0, *cuts, len(v)]
+    for a, b in zip(edges, edges[1:]):
+        if b > a:
+            own = topk.Lists(ids[a:b], v[a:b])
+            stored = topk.Lists.read(own.ids.tobytes(), own.v.tobytes(), own.until.tobytes(), np.array(own.heads).tobytes(), v.shape[1], scale)
+            topk.threshold_search(qids, topk.whole(q, scale), stored, best)
+    return best.held
+
+
 @settings(max_examples=150, deadline=None)
-@given(st.integers(1, 40), st.integers(1, 6), st.integers(0, 2**31), st.integers(1, 7))
-def test_threshold_search_is_exact(n, dim, seed, k):
+@given(st.integers(1, 90), st.integers(1, 6), st.integers(0, 2**31), st.integers(1, 7), st.integers(1, 5))
+def test_threshold_search_is_exact(n, dim, seed, k, queries):
     rng = np.random.RandomState(seed)
-    v, q = rng.randint(-4, 5, (n, dim)).astype(float), rng.randint(-4, 5, dim).astype(float)
+    v, q = rng.randint(-4, 5, (n, dim)).astype(float), rng.randint(-4, 5, (queries, dim)).astype(float)
     ids = rng.permutation(n * 2)[:n].astype(np.int64)
-    order = np.argsort(v, axis=0, kind="stable")
-    got = topk.threshold_search(q, v, ids, order, k, int(ids[0]), [])
-    want = sorted((-int(s), int(i)) for s, i in zip(v @ q, ids, strict=True) if i != ids[0])[:k]
-    assert got == want
+    qids = rng.choice(np.append(ids, 1000), queries).astype(np.int64)
+    got = search(v, q, ids, qids, k, cuts=sorted(rng.randint(0, n, 2)))
+    for i in range(queries):
+        assert got[i] == sorted((-int(s), int(j)) for s, j in zip(v @ q[i], ids, strict=True) if j != qids[i])[:k]
+
+
+def test_threshold_search_of_huge_components():
+    v = np.array([[1.0, 1.0], [2.0**41, 0.0], [1.0, 0.0], [1e308, -1e308], [0.0, 2.0**60 + 2**10]])
+    got = search(v, v[[0, 3]], np.arange(5), np.array([0, 3]), 3, scale=256)
+    whole = [[int(x) * 256 for x in row] for row in v]
+    for i, own in enumerate((0, 3)):
+        assert got[i] == sorted((-sum(a * b for a, b in zip(whole[own], w)), j) for j, w in enumerate(whole) if j != own)[:3]
 
 
 def test_threshold_search_stops_early():
     rng = np.random.RandomState(1)
     v = np.concatenate([rng.randint(0, 3, (5000, 4)), np.full((5, 4), 100)]).astype(float)
-    counted = []
+    lists = topk.Lists(np.arange(5005), v)
+    seen = []
+    best = topk.Best(1, 5)
+    best.take = lambda which, score, ids, none: (seen.append(len(ids)), topk.Best.take(best, which, score, ids, none))
+    topk.threshold_search(np.array([-1]), np.ones((1, 4)), lists, best)
+    assert sum(seen) < 1000 and [i for _, i in best.held[0]] == [5000, 5001, 5002, 5003, 5004]
 
-    class Rows(np.ndarray):
-        def __matmul__(self, other):
-            counted.append(len(self))
-            return np.asarray(self) @ np.asarray(other)
 
-    order = np.argsort(v, axis=0, kind="stable")
-    topk.threshold_search(np.ones(4), v.view(Rows), np.arange(5005), order, 5, -1, [])
-    assert sum(counted) < 1000
+def test_top_k_of_scores_beyond_a_long(spark):
+    df = spark.createDataFrame([(0, [1e300, 1.0]), (1, [1e300, 0.0]), (2, [2e300, 0.0]), (3, [-1e300, 0.0]), (4, [-2e300, 0.0]), (5, [0.0, 1.0]), (6, [2.0**41, 0.0])], "vec_id long, embedding array<double>")
+    got = [(r["rank"], r.vec_id, r.score) for r in topk.top_k(df, k=6, every=50).orderBy("rank").collect()]
+    most, least = 2**63 - 1, -(2**63)
+    assert got == [(1, 2, most), (2, 1, most), (3, 6, most), (4, 5, 65536), (5, 3, least), (6, 4, least)]
 
 
 def test_top_k_query(spark, sf, tmp_path):
@@ -86,8 +109,9 @@ def test_vector_duplicates_query(spark, sf, tmp_path):
     compare(queries.op4_vector_dups(spark, sf), connect(sf, tmp_path), queries.ORACLE_SQL["op4_vector_dups"])
 
 
-def test_vector_duplicates_large_group(spark):
-    """Groups larger than a window, copies, labels; links are counted exactly."""
+def test_vector_duplicates_large_group(spark, monkeypatch):
+    """Groups larger than a window and than a block, copies, labels; links are counted exactly."""
+    monkeypatch.setattr(vectors, "BLOCK", 100)
     rng = np.random.RandomState(3)
     center = rng.standard_normal(16)
     rows = [(k, (center + 0.04 * rng.standard_normal(16)).tolist(), 1) for k in range(300)]
@@ -99,7 +123,7 @@ def test_vector_duplicates_large_group(spark):
 
 def test_vector_duplicates_dense_label(spark, monkeypatch):
     """Vectors that share a direction: windows miss links, the answers don't; more than one block."""
-    monkeypatch.setattr(vectors, "CELL", 128, raising=False)
+    monkeypatch.setattr(vectors, "BLOCK", 64)
     rng = np.random.RandomState(5)
     center = rng.standard_normal(32)
     v = center / np.linalg.norm(center) + 0.26 / math.sqrt(32) * rng.standard_normal((300, 32))
@@ -109,6 +133,13 @@ def test_vector_duplicates_dense_label(spark, monkeypatch):
     assert got(vectors.vector_duplicates(table(spark, rows), passes=2, window=4)) == brute(rows, 0.98)
 
 
+def test_vector_duplicates_of_one_id(spark):
+    """Rows of one id and different vectors are vectors of their own; links join what both are linked to."""
+    rows = [(1, [1.0, 0.0], 0), (1, [1.0, 0.001], 0), (2, [1.0, 0.0], 0), (3, [0.0, 1.0], 0), (1, [0.001, 1.0], 0)]
+    out = vectors.vector_duplicates(table(spark, rows)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == [(1, 1, 1), (1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 1, 1)]
+
+
 def test_vector_duplicates_awkward(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 0), (2, [2.0, 0.0], 0), (3, None, 0), (4, [], 0), (5, [0.0, 0.0], 0), (6, [nan, 1.0], 0), (7, [inf, 1.0], 0), (8, [1.0, None], 0), (9, [1.0, 0.0], None), (10, [1.0, 0.0, 0.0], 0), (11, [1e30, 0.0], 0), (12, [-1.0, 0.0], 0)]
