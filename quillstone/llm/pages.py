@@ -6,8 +6,9 @@ one host are put in the order of their URL paths; a page is aligned with the nei
 path beginning, by a longest common subsequence of lines, and shared lines are the template's.
 
 Shared lines are deleted except inside an article: texts repeat themselves from page to page (licences,
-copied articles), and deleting those lines there would cut main text. On a page whose every line is shared,
-a copy of its neighbour, sharing says nothing and deletes nothing.
+copied articles), and deleting those lines there would cut main text. A page whose every line is shared is a
+copy of its neighbour, which says nothing: its other neighbour is asked, and where that is a copy too, nothing
+is deleted as shared.
 """
 
 from __future__ import annotations
@@ -19,18 +20,22 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from quillstone.llm.common import shuffle_partitions
+from quillstone.llm.common import shuffle_partitions, staged
 
+# A quote only opens a value right after an equals sign; elsewhere it is a letter like others.
+REST = r"(?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+|))*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(script|style|noscript|template|iframe|svg|math|object|canvas|textarea|select|title)\b(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*(?:>|\Z).*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
+    rf"|<(script|style|noscript|template|iframe|svg|object|canvas|textarea|select|title)(?=[\s/>]|\Z){REST}(?:>|\Z).*?(?:</\1\s*>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)({REST})(?:>|\Z)",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+ATTRIBUTE = re.compile(r"(?<![^\s/\"'])([^\s/>=\"']+)\s*(?:=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]*))?", re.I)
 BLANKS = re.compile(r"\s+")
 
 # Tag and name lists; plain text, to be extended as needed.
@@ -183,67 +188,125 @@ def nearest(path: str, before: str | None, after: str | None) -> int:
     return -1 if after is None or _prefix(path, before) >= _prefix(path, after) else 1
 
 
+def _shared(lines: list[tuple], other: list[tuple]) -> list[bool]:
+    number: dict[str, int] = {}
+    a, b = ([number.setdefault(x[0], len(number)) for x in page] for page in (lines, other))
+    return common_lines(a, b)
+
+
+def _resolve(path: str, lines: list[tuple], before: tuple | None, after: tuple | None) -> tuple[str, int, int]:
+    """(text, lines, shared lines) of a page, given (path, lines) of its neighbours of the same host.
+
+    Where the nearest neighbour is a copy, the other one is asked.
+    """
+    side = nearest(path, before and before[0], after and after[0])
+    shared = [False] * len(lines)
+    for other in (before, after) if side < 0 else (after, before):
+        if other:
+            shared = _shared(lines, other[1])
+            if not all(shared):
+                break
+    return main_text(lines, shared), len(lines), sum(shared)
+
+
+def _squeeze(lines: list[tuple]) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(json.dumps(lines, ensure_ascii=False).encode("utf-8", "surrogatepass"))
+
+
+def _expand(data: bytes) -> list[tuple]:
+    return [tuple(x) for x in json.loads(zstandard.ZstdDecompressor().decompress(data).decode("utf-8", "surrogatepass"))]
+
+
+ANSWER = [("text", pa.string()), ("n_lines", pa.int64()), ("n_shared", pa.int64())]
+#: A run's first and last page wait for the page across the border; inner: the neighbour on this side of it.
+EDGE = [("run", pa.int64()), ("first", pa.bool_()), ("last", pa.bool_()), ("host", pa.string()), ("path", pa.string()), ("lines", pa.binary()), ("inner_host", pa.string()), ("inner_path", pa.string()), ("inner_lines", pa.binary())]
+KINDS = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+_shape = {v: k for k, v in KINDS.items()}
+
+
 def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_lines, n_shared) of every page; text is "" if nothing is left.
 
     A null html is an empty page. A null url has the empty host and path. Nulls and repeats in the id pass
-    through, a row each; other columns are not read; an empty table gives no rows. A page pairs within its
-    sorted run of pages (a partition of the sort): at a run's edge with its one neighbour there, and a page
-    alone with none, so that no host, however large, gathers in one task.
+    through, a row each; other columns are not read; an empty table gives no rows. Pages stand in the order of
+    host, path, url, id and content, whatever the partitions: runs of the sort settle the pages inside, and
+    their first and last pages are settled with the page across the border. No host gathers in one task.
     """
     spark = df.sparkSession
     src = df.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     path = F.coalesce(F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1), F.lit(""))
-    src = src.select("id", "url", host.alias("host"), path.alias("path"), "html")
+    src = src.select("id", "url", host.alias("host"), path.alias("path"), F.xxhash64("html").alias("mark"), "html")
     kind = src.schema["id"].dataType.simpleString()
+    id_type = to_arrow_type(src.schema["id"].dataType)
 
     def parse(batches):
-        squeeze = zstandard.ZstdCompressor(level=3).compress
         for b in batches:
-            data = [squeeze(json.dumps([(x.text, x.article, x.never) for x in page_lines(h)], ensure_ascii=False).encode("utf-8", "surrogatepass")) for h in b.column(4).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(data, pa.binary())], ["id", "url", "host", "path", "lines"])
+            data = [_squeeze([(x.text, x.article, x.never) for x in page_lines(h)]) for h in b.column(5).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(data, pa.binary())], ["id", "url", "host", "path", "mark", "lines"])
+
+    row = [("id", id_type), ("url", pa.string()), *ANSWER, *EDGE]
 
     def pair(batches):
-        expand = zstandard.ZstdDecompressor().decompress
+        run = TaskContext.get().partitionId()
+        held: list[tuple] = []
 
         def rows():
             for b in batches:
-                for i, u, h, p, x in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                    yield i, u, h, p, [tuple(y) for y in json.loads(expand(x).decode("utf-8", "surrogatepass"))]
-
-        def resolve(row, before, after):
-            i, u, h, p, lines = row
-            before = before if before and before[2] == h else None
-            after = after if after and after[2] == h else None
-            side = nearest(p, before and before[3], after and after[3])
-            other = (before if side < 0 else after)[4] if side else []
-            shared = common_lines([hash(x[0]) for x in lines], [hash(x[0]) for x in other])
-            return i, u, main_text(lines, shared), len(lines), sum(shared)
-
-        def out(held):
-            c = list(zip(*held, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(c[0], id_type), pa.array(c[1], pa.string()), pa.array(c[2], pa.string()), pa.array(c[3], pa.int64()), pa.array(c[4], pa.int64())], ["id", "url", "text", "n_lines", "n_shared"])
-
-        id_type = arrow_kind
+                for i, u, h, p, _, x in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                    yield i, u, h, p, _expand(x)
+
+        def out():
+            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*held, strict=True), row, strict=True)], [n for n, _ in row])
+            held.clear()
+            return batch
+
+        def edge(page, first, last, inner):
+            own = page[2], page[3], _squeeze(page[4])
+            near = (inner[2], inner[3], _squeeze(inner[4])) if inner else (None, None, None)
+            return page[0], page[1], None, None, None, run, first, last, *own, *near
+
+        def settle(before, now, after):
+            if before is None or after is None:
+                return edge(now, before is None, after is None, before or after)
+            near = [(x[3], x[4]) if x[2] == now[2] else None for x in (before, after)]
+            return now[0], now[1], *_resolve(now[3], now[4], *near), *[None] * len(EDGE)
+
         before = now = None
-        held = []
         for after in rows():
             if now is not None:
-                held.append(resolve(now, before, after))
+                held.append(settle(before, now, after))
             before, now = now, after
             if len(held) >= 500:
-                yield out(held)
-                held = []
+                yield out()
         if now is not None:
-            held.append(resolve(now, before, None))
-            yield out(held)
+            held.append(settle(before, now, None))
+            yield out()
+
+    def across(batches):
+        for b in batches:
+            got = []
+            for x in b.to_pylist():
+                def near(name, x=x):
+                    return (x[f"{name}_path"], _expand(x[f"{name}_lines"])) if x[f"{name}_host"] == x["host"] else None
 
-    from pyspark.sql.pandas.types import to_arrow_type
+                got.append(_resolve(x["path"], _expand(x["lines"]), near("before" if x["first"] else "inner"), near("after" if x["last"] else "inner")))
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], *[pa.array(c, t) for c, (_, t) in zip(zip(*got, strict=True), ANSWER, strict=True)]] if got else [*b.columns[:2], *[pa.array([], t) for _, t in ANSWER]], ["id", "url", *[n for n, _ in ANSWER]])
 
-    arrow_kind = to_arrow_type(src.schema["id"].dataType)
-    parsed = src.mapInArrow(parse, f"id {kind}, url string, host string, path string, lines binary")
-    order = ["host", "path", "url", "id"]
+    shape = ", ".join(f"{n} {_shape[t]}" for n, t in ANSWER)
+    parsed = src.mapInArrow(parse, f"id {kind}, url string, host string, path string, mark long, lines binary")
+    order = ["host", "path", "url", "id", "mark"]
     sorted_pages = parsed.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
-    out = sorted_pages.mapInArrow(pair, f"id {kind}, url string, text string, n_lines long, n_shared long")
+    settled = staged(sorted_pages.mapInArrow(pair, f"id {kind}, url string, {shape}, " + ", ".join(f"{n} {_shape[t]}" for n, t in EDGE)), "pages")
+    edges = settled.where("run IS NOT NULL")
+    runs = sorted(r["run"] for r in edges.select("run").distinct().collect())  # one number a partition
+    beside = spark.createDataFrame([(r, a, b) for r, a, b in zip(runs, [None, *runs], [*runs[1:], None], strict=False)], "run long, prior long, following long")
+
+    def outer(name, side, key):
+        return edges.where(side).select(F.col("run").alias(key), *[F.col(c).alias(f"{name}_{c}") for c in ("host", "path", "lines")])
+
+    met = edges.join(beside, "run").join(outer("before", "last", "prior"), "prior", "left").join(outer("after", "first", "following"), "following", "left")
+    names = ["id", "url", "host", "path", "lines", "first", "last", *[f"{n}_{c}" for n in ("inner", "before", "after") for c in ("host", "path", "lines")]]
+    rest = met.select(*names).mapInArrow(across, f"id {kind}, url string, {shape}")
+    out = settled.where("run IS NULL").select("id", "url", *[n for n, _ in ANSWER]).unionByName(rest)
     return out.withColumnRenamed("url", url_col).withColumnRenamed("id", id_col)
