@@ -105,8 +105,8 @@ def plan(lengths: dict[int, int], capacity: int) -> Iterator[list[int]]:
     A negative last entry -n asks for n ids cut off one more remainder, the longest left.
     """
     counts = {k: v for k, v in lengths.items() if v}
+    total = sum(k * v for k, v in counts.items())
     while counts:
-        total = sum(k * v for k, v in counts.items()) if len(counts) < 64 else capacity
         if total < capacity:
             yield [k for k, v in counts.items() for _ in range(v)]
             return
@@ -114,6 +114,7 @@ def plan(lengths: dict[int, int], capacity: int) -> Iterator[list[int]]:
         slack = capacity - sum(k * v for k, v in taken.items())
         times = 1 if slack else min(counts[k] // v for k, v in taken.items())
         window = [k for k, v in taken.items() for _ in range(v)]
+        total -= capacity * times  # a window that has slack is topped up
         for k, v in taken.items():
             counts[k] -= v * times
             if not counts[k]:
