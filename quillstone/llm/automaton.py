@@ -1,32 +1,39 @@
-"""BPE encoding and decoding through a tokenization automaton.
+"""BPE encoding and decoding through a deterministic tokenization automaton.
 
-The automaton reads token labels. Its states are "the last token was t"; an arc t -> u exists exactly
-when u may follow t in a correct BPE segmentation. It is built by one gadget per merge, in merge order.
-The gadget of merge (a, b) -> c adds an arc c wherever an arc a leaves, splits "after a" so that it no
-longer has arc b, and lets "after c" start as a copy of "after b". A full table of all states and labels
-would take gigabits for 49k merges, so the gadgets are stored as columns (left part, right part, time)
-and a cell is worked out by replaying the gadgets that touch it, then kept in the transition table.
+The automaton reads token labels. It is compiled by one gadget per merge, in merge order, from a single state
+with an arc for every letter. The gadget of merge (a, b) -> c
 
-Each string has one path from the start, and each prefix of it too, so a word is encoded left to right
-with one remembered state per position. Decoding walks the ids and emits their arc labels.
+- lets arc c lead where arc b led,
+- gives "after a" a new state that no longer has arc b,
+- and adds an arc c wherever an arc a still leaves.
+
+A merge whose arc b has gone from "after a" by then can never be applied and makes no gadget. As every arc a
+leads to one state, the states are "the last token was t"; each is the state it came from less what its gadgets
+took away. Tokens are numbered so that all that grew out of arc b after a given merge are neighbours (a walk of
+the tree token -> left part, children in merge order), so what a gadget takes away is one span of numbers, and a
+state's row of transitions is a short sorted list of spans that have no arc.
+
+Every string has exactly one path from the start, and so has each prefix of it. A word is encoded by one pass
+over its places: the state at a place is known when it is reached, every label that starts there and has an arc
+settles one later place, and nothing is ever taken back. Decoding walks the ids and emits their arc labels.
 """
 
 from __future__ import annotations
 
 import json
 import re
-import unicodedata
+from bisect import bisect_right
 from itertools import chain
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from quillstone.llm.common import Memo
 
-#: Words kept in a worker's memo, and again as many of the generation before; bounds memory, never results.
-MEMO = 500_000
+#: Words kept in each of a worker's memos, and again as many of the generation before; bounds memory, never results.
+MEMO = 300_000
 
 
 def byte_letters() -> list[str]:
@@ -36,109 +43,148 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
+END = "end"  # no letter: letters are single characters
+
+
 class MergeAutomaton:
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], end: str = ""):
         self.vocab, self.end = vocab, end
         self.label = {i: t for t, i in vocab.items()}
         size = max(vocab.values(), default=-1) + 1
         self.left, self.right, self.time = [-1] * size, [-1] * size, [-1] * size
-        self.pair: dict[tuple[int, int], int] = {}
+        self.taken: list[dict[int, int]] = [{} for _ in range(size)]  # by token: arcs its own gadgets took, and when
+        grown: list[list[int]] = [[] for _ in range(size)]  # tokens by their left part, in merge order
+        self.real = [False] * size
+        parts = {a + b for a, b in merges}
+        for t, i in vocab.items():
+            self.real[i] = t not in parts
         for at, (a, b) in enumerate(merges):
-            self._gadget(vocab[a], vocab[b], vocab[a + b], at)
-        self.arcs: dict[tuple[int, int], bool] = {}
-        self.span: dict[str, int] = {}  # the longest label by its first two letters
-        for t in vocab:
-            t = t.removesuffix(end) if end else t
-            self.span[t[:2]] = max(len(t), self.span.get(t[:2], 1))
-        self.reach: dict[int, bool] = {}
-
-    def _gadget(self, a: int, b: int, c: int, at: int) -> None:
-        self.pair[a, b] = at
-        self.left[c], self.right[c], self.time[c] = a, b, at
-
-    def arc(self, t: int, u: int) -> bool:
-        """Whether the finished automaton has arc u after t."""
-        if (known := self.arcs.get((t, u))) is not None:
-            return known
-        ok = self._beside(t, u, 2 * len(self.time) + 2 * len(self.pair))
-        if len(self.arcs) > 4 * MEMO:
-            self.arcs.clear()
-        self.arcs[t, u] = ok
-        return ok
-
-    def whole(self, t: int) -> bool:
-        """Whether t is reached at all: its own two parts are joined by its merge, not by an earlier one."""
-        if (known := self.reach.get(t)) is None:
-            a, b = self.left[t], self.right[t]
-            known = a < 0 or (self.whole(a) and self.whole(b) and self._beside(a, b, 2 * self.time[t]))
-            self.reach[t] = known
-        return known
-
-    def _beside(self, x: int, y: int, until: int) -> bool:
-        """Whether x and y stay side by side up to a time, given in halves: replays the gadgets backwards.
-
-        Taking y apart counts the gadget of that very time (2 t + 1): in a run of equal labels the leftmost
-        two are joined first, so "after a" has lost arc a before the gadget adds arc aa.
+            self._gadget(vocab[a], vocab[b], vocab[a + b], at, grown)
+        self._number(grown)
+        self.rows: list[list[int] | None] = [None] * size
+        # labels letter by letter: a node's next nodes by letter; "" and END: the label spelled so far, in a word and at its end
+        self.root: dict = {}
+        for t, i in vocab.items():
+            if self.real[i]:
+                node, last = self.root, bool(end) and t.endswith(end)
+                for letter in t.removesuffix(end) if last else t:
+                    node = node.setdefault(letter, {})
+                node[END if last or not end else ""] = i
+                if not end:
+                    node[""] = i
+
+    def _gadget(self, a: int, b: int, c: int, at: int, grown: list[list[int]]) -> None:
+        if self.real[a] and self.real[b] and self._leaves(a, b):
+            self.left[c], self.right[c], self.time[c], self.real[c] = a, b, at, True
+            self.taken[a][b] = at
+            grown[a].append(c)
+
+    def _since(self, t: int, u: int) -> int | None:
+        """When arc u was taken from "after t" as the gadgets so far left it; None: it was not.
+
+        "After t" came from "after its right part" as that was when t was made.
         """
-        while 2 * self.pair.get((x, y), until) >= until:
-            tx, ty = self.time[x], self.time[y]
-            if tx < 0 and ty < 0:
-                return True
-            if tx > ty:
-                x, until = self.right[x], 2 * tx
+        until = 1 << 60
+        while t >= 0:
+            at = self.taken[t].get(u)
+            if at is not None and at < until:
+                return at
+            until, t = min(until, self.time[t]), self.right[t]
+        return None
+
+    def _leaves(self, t: int, u: int) -> bool:
+        """Whether arc u leaves "after t" as the gadgets so far left it: neither u nor any arc it grew out of
+        was taken before the next had grown."""
+        grew = 1 << 60
+        while u >= 0:
+            at = self._since(t, u)
+            if at is not None and at <= grew:
+                return False
+            grew, u = self.time[u], self.left[u]
+        return True
+
+    def _number(self, grown: list[list[int]]) -> None:
+        """number: places in the walk; last: past the place of all that grew out of a token; then: of what grew out of it and when."""
+        size = len(grown)
+        self.number, self.last = [0] * size, [0] * size
+        n = 0
+        for root in range(size):
+            if self.real[root] and self.left[root] < 0:
+                stack = [(root, False)]
+                while stack:
+                    t, done = stack.pop()
+                    if done:
+                        self.last[t] = n
+                        continue
+                    self.number[t] = n
+                    n += 1
+                    stack.append((t, True))
+                    stack.extend((c, False) for c in reversed(grown[t]))
+        self.grown = grown
+
+    def row(self, t: int) -> list[int]:
+        """Edges, ascending, of the spans of numbers that have no arc in "after t": compiled when t is first entered."""
+        spans, until, r, seen = [], 1 << 60, t, set()
+        while r >= 0:
+            for u, at in self.taken[r].items():
+                if at < until and u not in seen:
+                    seen.add(u)
+                    spans.append((self.number[u], self.number[u] + 1))
+                    first = next((c for c in self.grown[u] if self.time[c] >= at), None)
+                    if first is not None:
+                        spans.append((self.number[first], self.last[u]))
+            until, r = min(until, self.time[r]), self.right[r]
+        edges: list[int] = []
+        for a, b in sorted(spans):
+            if edges and a <= edges[-1]:
+                edges[-1] = max(edges[-1], b)
             else:
-                y, until = self.left[y], 2 * ty + 1
-        return False
-
-    def encode(self, word: str) -> list[int]:
-        """Ids of one word spelled in byte letters.
-
-        Walks the automaton, the longest label first, and takes back a step that leads nowhere. A prefix has
-        one path, so a place that failed once is never entered again.
-        """
-        n, get, end, arc, span = len(word), self.vocab.get, self.end, self.arc, self.span.get
-        dead = [False] * n
-        path: list[int] = []
-        places, ends = [0], [n]
-        while places:
-            i, j = places[-1], min(ends[-1], places[-1] + span(word[places[-1] : places[-1] + 2], 1))
-            while j > i:
+                edges += [a, b]
+        self.rows[t] = edges
+        return edges
+
+    def encode(self, word: str) -> tuple[int, ...]:
+        """Ids of one word spelled in byte letters: a pass over its places, each settled by exactly one arc."""
+        n, number, rows = len(word), self.number, self.rows
+        came, last = [0] * (n + 1), [-1] * (n + 1)  # where the arc into a place starts, and its label
+        for i in range(n):
+            if i:
+                if (t := last[i]) < 0:
+                    continue
+                row = rows[t]
+                if row is None:
+                    row = self.row(t)
+            node, j = self.root, i
+            while (node := node.get(word[j])) is not None:
+                j += 1
+                u = node.get("" if j < n else END)
+                if u is not None and (not i or not bisect_right(row, number[u]) & 1):
+                    came[j], last[j] = i, u
                 if j == n:
-                    t = get(word[i:] + end)
-                else:
-                    t = None if dead[j] else get(word[i:j])
-                if t is not None and self.whole(t) and (not i or arc(path[-1], t)):
                     break
-                j -= 1
-            if j > i:
-                path.append(t)
-                if j == n:
-                    return path
-                ends[-1] = j - 1
-                places.append(j)
-                ends.append(n)
-            else:
-                dead[i] = True
-                places.pop()
-                ends.pop()
-                if path:
-                    path.pop()
-        if n:
-            raise ValueError(f"no path spells {word!r}")
-        return path
+        path: list[int] = []
+        at = n
+        while at:
+            if last[at] < 0:
+                raise ValueError(f"no path spells {word!r}")
+            path.append(last[at])
+            at = came[at]
+        return tuple(path[::-1])
 
     def decode(self, ids: list[int]) -> list[str]:
         return [self.label[i] for i in ids]
 
 
-# Word pattern of the tokenizer file; fixed value.
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
-SPACE = regex.compile(r"\p{White_Space}+")
+# The word pattern of the tokenizer file for printable ASCII without blanks, lower case; fixed value.
+ASCII_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 ODD = re.compile("[\x1c-\x1f]")
+BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
 class WordBpe:
-    """The word-level BPE file: NFC, lower case, words split by pattern, byte letters, end-of-word mark."""
+    """The word-level BPE file. The library's own normaliser and word splitter are run on what stands between
+    blanks, so that letters, digits and cases are those of its tables (on ASCII a plain pattern gives the same
+    words); the automaton encodes the words."""
 
     def __init__(self, spec: str):
         d = json.loads(spec)
@@ -148,19 +194,24 @@ class WordBpe:
         self.special = {x["content"]: x["id"] for x in d["added_tokens"]}
         self.auto.label.update({i: t for t, i in self.special.items()})
         self.cut = re.compile("(" + "|".join(re.escape(x) for x in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.letters = byte_letters()
+        library = Tokenizer.from_str(spec)
+        self.normal, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         size = max(self.auto.label, default=-1) + 1
         self.labels = [self.auto.label.get(i, "") for i in range(size)]
         self.digits = [str(i) for i in range(size)]
+        self.word = Memo(self.auto.encode, MEMO)
         self.memo = Memo(self._chunk, MEMO)
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
-        return tuple([i for w in WORDS.findall(chunk) for i in self.auto.encode("".join([self.letters[b] for b in w.encode()]))])
+        if chunk.isascii() and chunk.isprintable():
+            words = ASCII_WORDS.findall(chunk.lower())
+        else:
+            words = [w for w, _ in self.split(self.normal(chunk))]
+        return self.word[words[0]] if len(words) == 1 else tuple([i for w in words for i in self.word[w]])
 
     def _plain(self, text: str) -> list[int]:
-        text = text if text.isascii() else unicodedata.normalize("NFC", text)
-        text = text.replace("Σ", "σ").lower()  # lower case letter by letter, without the final-sigma rule
-        chunks = [c for c in SPACE.split(text) if c] if ODD.search(text) else text.split()
+        # no rule reaches across a blank: blanks are dropped, and none is made of or joined with other letters
+        chunks = [c for c in BLANK.split(text) if c] if ODD.search(text) else text.split()
         return list(chain.from_iterable(map(self.memo.__getitem__, chunks)))
 
     def ids(self, text: str | None) -> list[int]:

@@ -43,6 +43,41 @@ def test_every_label_spells_its_own_path(words):
             assert mine.ids(w) == lib.encode(w, add_special_tokens=False).ids
 
 
+def merged(word, merges):
+    """Plain merging: the earliest merge that fits, leftmost first, again and again."""
+    parts = list(word)
+    while True:
+        found = [(merges.index((a, b)), k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if (a, b) in merges]
+        if not found:
+            return parts
+        k = min(found)[1]
+        parts[k : k + 2] = [parts[k] + parts[k + 1]]
+
+
+def test_automaton_against_plain_merging():
+    rng = random.Random(12)
+    for _ in range(60):
+        labels, merges = ["a", "b", "c"], []
+        for _ in range(rng.randint(1, 14)):
+            pair = (rng.choice(labels), rng.choice(labels))
+            if "".join(pair) not in labels:
+                merges.append(pair)
+                labels.append("".join(pair))
+        auto = automaton.MergeAutomaton({t: k for k, t in enumerate(labels)}, merges)
+        for _ in range(120):
+            word = "".join(rng.choice("abc") for _ in range(rng.randint(0, 14)))
+            assert auto.decode(auto.encode(word)) == merged(word, merges), (merges, word)
+
+
+def test_every_letter_is_split_as_the_library_splits_it(words):
+    """All code points of the planes that hold letters, between two letters."""
+    mine, lib = words
+    some = ["a%sb" % chr(c) for c in [*range(0xD800), *range(0xE000, 0x20000), *range(0x2F800, 0x2FA20), *range(0xE0000, 0xE0200)]]
+    for k in range(0, len(some), 5000):
+        for t, e in zip(some[k : k + 5000], lib.encode_batch(some[k : k + 5000], add_special_tokens=False), strict=True):
+            assert mine.ids(t) == e.ids, repr(t)
+
+
 def test_bpe_operator(spark):
     df = documents(spark, [*enumerate(AWKWARD), (None, "null id"), (3, "one")])
     out = automaton.bpe_encode(df, queries.tokenizer_json(queries.WORD_BPE))
@@ -103,6 +138,14 @@ def brute_fill(counts, capacity):
     return max(sums)
 
 
+def test_plan_of_many_lengths_and_large_windows():
+    for lengths, capacity in (({k: 1 for k in range(1, 65)}, 4096), ({k: 1 for k in range(1, 65)}, 2048), ({k: 3 for k in range(1, 200)}, 256)):
+        windows = list(packing.plan(lengths, capacity))
+        full = [w for w in windows if sum(map(abs, w)) == capacity]
+        assert len(full) >= len(windows) - 1
+        assert sum(abs(k) for w in windows for k in w) == sum(k * n for k, n in lengths.items())
+
+
 def test_fill_is_the_best_subset():
     rng = random.Random(4)
     for _ in range(300):
