@@ -70,6 +70,11 @@ class SimilarityConfig:
     method: str = "embedding"
     embedding_model: str = ""
     embedding_batch_size: int = 100
+    embedding_api_url: str = ""
+    embedding_api_key: str = ""
+
+    def __repr__(self) -> str:
+        return f"SimilarityConfig(method={self.method!r}, threshold={self.threshold!r}, embedding_model={self.embedding_model!r}, embedding_api_key='***')"
 
 
 @dataclass(frozen=True)

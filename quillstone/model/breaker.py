@@ -19,16 +19,16 @@ class EndpointState:
         self.lock = threading.Lock()
         self.failures = self.total_failures = 0
         self.open_until: float | None = None
+        self.errors: list[str] = []
 
     @property
     def name(self) -> str:
         return self.endpoint.name
 
     def is_available(self) -> bool:
+        """After the cool-down the count of failures stands: one success clears it, one more failure opens anew."""
         with self.lock:
-            if self.open_until is not None and self.clock() >= self.open_until:
-                self.open_until, self.failures = None, 0
-            return self.open_until is None
+            return self.open_until is None or self.clock() >= self.open_until
 
     def record_success(self) -> None:
         with self.lock:
@@ -38,12 +38,28 @@ class EndpointState:
         with self.lock:
             self.failures += 1
             self.total_failures += 1
-            opened = self.failures >= FAILURES and self.open_until is None
-            if opened:
-                self.open_until = self.clock() + COOL_DOWN_SECONDS
-            failures = self.failures
+            self.errors = [*self.errors[-4:], error[:500]]
+            now = self.clock()
+            opened = self.failures >= FAILURES and (self.open_until is None or now >= self.open_until)
+            if self.failures >= FAILURES:
+                self.open_until = now + COOL_DOWN_SECONDS
+            said = {"endpoint": self.name, "model": self.endpoint.model, "api_type": self.endpoint.api_type, "failures": self.failures, "cool_down_seconds": COOL_DOWN_SECONDS, "error": error[:500], "errors": list(self.errors)}
         if opened and self.log:
-            self.log({"endpoint": self.name, "failures": failures, "error": error[:500]})
+            self.log(said)
+
+
+STATUSES = ("ok", "error", "skip")
+
+
+def run_summary(stage: str, max_workers: int, total_units: int, seconds: float, records: list[dict]) -> dict:
+    """What a stage's log says: every status is counted, also those that did not occur."""
+    counts = dict.fromkeys(STATUSES, 0) | Counter(r["status"] for r in records)
+    return {"stage": stage, "max_workers": max_workers, "total_units": total_units, "total_seconds": round(seconds, 3), "summary": counts, "records": records}
+
+
+def summary_line(log: dict) -> str:
+    counts = " ".join(f"{k}={n}" for k, n in log["summary"].items())
+    return f"[{log['stage']}] {counts} seconds={log['total_seconds']} workers={log['max_workers']}"
 
 
 class RunLog:
@@ -62,4 +78,4 @@ class RunLog:
     def summary(self, stage: str, max_workers: int) -> dict:
         with self.lock:
             rows = list(self.records)
-        return {"stage": stage, "max_workers": max_workers, "total_units": len(rows), "total_seconds": round(time.monotonic() - self.began, 3), "summary": dict(Counter(r["status"] for r in rows)), "records": rows}
+        return run_summary(stage, max_workers, len(rows), time.monotonic() - self.began, rows)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import threading
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -25,34 +28,62 @@ def batch_prompt(items: Column) -> Column:
     return F.concat(F.lit("请逐个处理以下文件。\n\n"), F.array_join(part, "\n\n"))
 
 
-def ask(units: DataFrame, key: str, prompt: str, build: Callable[[], Answerer], max_workers: int = 3) -> DataFrame:
+#: Threads of one task; more workers than that are spread over several tasks.
+THREADS = 16
+
+
+def ask(units: DataFrame, key: str, prompt: str, build: Callable[[], Answerer], max_workers: int = 3, give_up: int = 0) -> DataFrame:
     """(key, answer, status, duration_s, error): at most max_workers calls at a time.
 
-    Status is ok, error, or skip once no endpoint is left for the task. Answers should be appended to a table
+    Status is ok, error, or skip once no endpoint is left. The workers of a task are threads that share its
+    answerer, so its breakers count for all of them, and a stop reaches all of them: calls that have begun end,
+    no other begins; `give_up` errors in a row (0: never) stop a task too. Rows stream; no more than two calls a worker are held. Answers should be appended to a table
     keyed by `key` and later runs anti-join it: a task that runs again may call again, but no answer is stored
     twice. Speculation must be off.
     """
+    tasks = -(-max_workers // THREADS)
+    threads = -(-max_workers // tasks)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        answer, stopped = build(), False
-        for pdf in batches:
-            rows = []
-            for k, p in zip(pdf[key], pdf[prompt], strict=True):
-                began = time.monotonic()
-                text = error = None
-                status = "skip"
-                if not stopped:
-                    try:
-                        text, status = answer(p), "ok"
-                    except EndpointsExhausted as x:
-                        stopped, error = True, str(x)[:500]
-                    except ModelError as x:
-                        status, error = "error", str(x)[:500]
-                rows.append((k, text, status, time.monotonic() - began, error))
-            yield pd.DataFrame(rows, columns=[key, "answer", "status", "duration_s", "error"])
+        answer, stopped, failed, lock = build(), threading.Event(), [0], threading.Lock()
+
+        def count(bad: bool):
+            with lock:
+                failed[0] = failed[0] + 1 if bad else 0
+                if give_up and failed[0] >= give_up:
+                    stopped.set()
+
+        def one(k, p):
+            began = time.monotonic()
+            text = error = None
+            status = "skip"
+            if not stopped.is_set():
+                try:
+                    text, status = answer(p), "ok"
+                    count(False)
+                except EndpointsExhausted as x:
+                    stopped.set()
+                    error = str(x)[:500]
+                except ModelError as x:
+                    status, error = "error", str(x)[:500]
+                    count(True)
+            return k, text, status, time.monotonic() - began, error
+
+        with ThreadPoolExecutor(threads) as pool:
+            waiting: deque = deque()
+            for pdf in batches:
+                for k, p in zip(pdf[key], pdf[prompt], strict=True):
+                    waiting.append(pool.submit(one, k, p))
+                    if len(waiting) >= 2 * threads:
+                        yield rows([waiting.popleft().result()])
+            while waiting:
+                yield rows([waiting.popleft().result()])
+
+    def rows(found):
+        return pd.DataFrame(found, columns=[key, "answer", "status", "duration_s", "error"])
 
     kind = units.schema[key].dataType.simpleString()
-    dealt = units.select(key, prompt).repartition(max_workers, key)
+    dealt = units.select(key, prompt).repartition(tasks, key)
     return dealt.mapInPandas(run, f"{key} {kind}, answer string, status string, duration_s double, error string")
 
 

@@ -6,21 +6,33 @@ import atexit
 import re
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+_own_dir: dict[str, str] = {}
 
-def settled(df: DataFrame) -> DataFrame:
-    """df computed once and kept in the folder of spark.checkpoint.dir; a temporary one in local mode only.
 
-    Reliable checkpoints survive lost executors, and stop the planner from working an expensive column out
-    again for each of its uses.
-    """
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir; where it is unset, a fresh one, in local mode only (tests)."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if "dir" not in _own_dir:
+        _own_dir["dir"] = tempfile.mkdtemp(prefix="quillstone-")
+        atexit.register(shutil.rmtree, _own_dir["dir"], ignore_errors=True)
+    return _own_dir["dir"]
+
+
+def settled(df: DataFrame, name: str = "settled") -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: lineage ends at files that every executor can
+    see, so a lost executor costs no earlier work, no column is worked out again for each of its uses, and the
+    planner knows its size. The files go when the application ends."""
     spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        own = tempfile.mkdtemp(prefix="quillstone-")
-        atexit.register(shutil.rmtree, own, ignore_errors=True)
-        spark.sparkContext.setCheckpointDir(own)
-    return df.checkpoint()
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)

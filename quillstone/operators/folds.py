@@ -30,7 +30,7 @@ def fold(df: DataFrame, group: list[str], order: list, start: Callable[[], objec
             yield pdf.assign(**{n: [o[k] for o in out] for k, n in enumerate(names)})
 
     # the group columns come first in the sort, so a group is one run of rows
-    dealt = df.repartition(*[F.col(g) for g in group]) if group else df.coalesce(1)
+    dealt = df.repartition(*[F.col(g) for g in group]) if group else df.repartition(1)  # sizes and keys of all rows pass one task; what made them does not
     return dealt.sortWithinPartitions(*group, *order).mapInPandas(run, ddl)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,10 +11,10 @@ from quillstone.functions import text as T
 from quillstone.schema import UNCATEGORISED
 
 
-def cross_topic_report(pairs: DataFrame, limit: int = 50) -> DataFrame:
+def cross_topic_report(pairs: DataFrame, limit: int = 50, keep: Sequence[str] = ()) -> DataFrame:
     """The most similar pairs across topics, highest first; the limit is the report's."""
     return pairs.orderBy(F.desc("sim"), "a", "b").limit(limit).select(
-        "topic_a", "topic_b", "a", "b", "sim", T.preview(F.col("a_body")).alias("preview_a"), T.preview(F.col("b_body")).alias("preview_b")
+        "topic_a", "topic_b", "a", "b", "sim", T.preview(F.col("a_body")).alias("preview_a"), T.preview(F.col("b_body")).alias("preview_b"), *keep
     )
 
 

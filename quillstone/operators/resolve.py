@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.functions import text as T
-from quillstone.operators.barrier import settled
+from quillstone.operators.graph import components
 
 
 def _merges(judgments: DataFrame) -> DataFrame:
@@ -42,21 +42,8 @@ def resolve_reference(units: DataFrame, judgments: DataFrame, order: list[str])
 
 
 def smallest_reachable(edges: DataFrame) -> DataFrame:
-    """(fp, root) over edges (a, b): the smallest fingerprint reachable, by repeated minimum and jump.
-
-    Rounds go on until no root changes; roots only become smaller, so they end. Lineage is cut each round.
-    """
-    both = settled(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = settled(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")).withColumnRenamed("a", "fp"))
-    while True:
-        near = both.join(label, both["b"] == label["fp"]).groupBy("a").agg(F.min("root").alias("near"))
-        step = label.join(near, label["fp"] == near["a"]).select("fp", F.least("root", "near").alias("root"))
-        jump = step.select(F.col("fp").alias("root"), F.col("root").alias("top"))
-        now = settled(step.join(jump, "root").select("fp", F.col("top").alias("root")))
-        done = now.join(label.withColumnRenamed("root", "was"), "fp").where("root <> was").isEmpty()
-        label = now
-        if done:
-            return label
+    """(fp, root) over edges (a, b): the smallest fingerprint reachable."""
+    return components(edges).select(F.col("id").alias("fp"), F.col("component").alias("root"))
 
 
 def resolve_safe(units: DataFrame, judgments: DataFrame, order: list[str]) -> DataFrame:

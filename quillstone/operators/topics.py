@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,13 +70,47 @@ def topic_index(units: DataFrame, mapping: dict[str, list[str]]) -> DataFrame:
     return stats.join(tags, "topic", "left").select("topic", seq.alias("seq"), "units", "p0", "p1", "p2", F.coalesce("tags", F.lit("")).alias("tags"))
 
 
+def tree_digests(rows: DataFrame, group: list[str], content: str) -> DataFrame:
+    """(group, n, h): digest of the sorted digests of a group's contents, whatever the order of rows.
+
+    Digests that begin with the same three hex digits are folded first, so that no task holds more than a
+    4,096th of a group's digests, or any text.
+    """
+    one = rows.select(*group, F.sha2(content, 256).alias("h"))
+    part = one.groupBy(*group, F.substring("h", 1, 3).alias("slot")).agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("h"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("slot", "h"))), lambda x: x["h"]), "")
+    return part.groupBy(*group).agg(F.sum("n").alias("n"), F.sha2(joined, 256).alias("h"))
+
+
 def topic_fingerprints(units: DataFrame, digits: int = 16) -> DataFrame:
-    """(topic, units, fingerprint): order-insensitive digest of a topic's bodies, from their own digests.
+    """(topic, units, fingerprint): order-insensitive digest of a topic's bodies, from their own digests."""
+    return tree_digests(units, ["topic"], "body").select("topic", F.col("n").alias("units"), F.substring("h", 1, digits).alias("fingerprint"))
+
+
+def joined_digests(units: DataFrame, order: list[str], digits: int = 16, group: str = "topic", body: str = "body") -> DataFrame:
+    """(group, units, fingerprint): digest of a group's bodies joined in order.
 
-    Digests of sorted body digests change with the content as digests of the joined bodies do, and no task
-    has to hold a topic's text. Buckets of the digest's first byte are folded first.
+    Equal to hashing the joined text, which is sequential: a group streams through one task, a row at a time.
     """
-    one = units.select("topic", F.sha2("body", 256).alias("h"))
-    part = one.groupBy("topic", F.substring("h", 1, 3).alias("slot")).agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("h"))
-    whole = part.groupBy("topic").agg(F.sum("n").alias("units"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("slot", "h"))), lambda x: x["h"]), ""), 256).alias("h"))
-    return whole.select("topic", "units", F.substring("h", 1, digits).alias("fingerprint"))
+    kind = units.schema[group].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, digest, n = None, None, 0
+
+        def done():
+            return pd.DataFrame({group: [now], "units": [n], "fingerprint": [digest.hexdigest()[:digits]]})
+
+        for pdf in batches:
+            for key, text in zip(pdf[group], pdf[body], strict=True):
+                if digest is None or key != now:
+                    if digest is not None:
+                        yield done()
+                    now, digest, n = key, hashlib.sha256(), 0
+                digest.update(text.encode())
+                n += 1
+        if digest is not None:
+            yield done()
+
+    names = list(dict.fromkeys([group, body, *order]))
+    sorted_rows = units.select(*names).repartition(group).sortWithinPartitions(group, *order).select(group, body)
+    return sorted_rows.mapInPandas(run, f"{group} {kind}, units long, fingerprint string")

@@ -108,12 +108,12 @@ def _for_pairs(spark, sf_dir):
 
 @query
 def jaccard_intra_new_new(spark, sf_dir):
-    return similarity.jaccard_intra(_for_pairs(spark, sf_dir), 0.7, ORDER, similarity.new_new(), key="part").withColumn("sim", F.round("sim", 9))
+    return similarity.jaccard_intra(_for_pairs(spark, sf_dir), 0.7, ORDER, similarity.NEW_NEW, key="part").withColumn("sim", F.round("sim", 9))
 
 
 @query
 def jaccard_intra_new_old(spark, sf_dir):
-    return similarity.jaccard_intra(_for_pairs(spark, sf_dir), 0.7, ORDER, similarity.new_old(), key="part").withColumn("sim", F.round("sim", 9))
+    return similarity.jaccard_intra(_for_pairs(spark, sf_dir), 0.7, ORDER, similarity.NEW_OLD, key="part").withColumn("sim", F.round("sim", 9))
 
 
 @query
@@ -132,7 +132,7 @@ def cross_topic_topk(spark, sf_dir):
 
 @query
 def cosine_intra(spark, sf_dir):
-    return similarity.cosine_intra(vectors(spark, sf_dir), 0.3, "vec_id", "label", "embedding", blocks=4).withColumn("sim", F.round("sim", 6))
+    return similarity.cosine_intra(vectors(spark, sf_dir), 0.3, "vec_id", "label", "embedding").withColumn("sim", F.round("sim", 6))
 
 
 @query
@@ -149,7 +149,7 @@ def comparison_counts(spark, sf_dir):
 
 
 def _cosine_pairs(spark, sf_dir):
-    return similarity.cosine_intra(vectors(spark, sf_dir), 0.3, "vec_id", "label", "embedding", blocks=4)
+    return similarity.cosine_intra(vectors(spark, sf_dir), 0.3, "vec_id", "label", "embedding")
 
 
 @query

@@ -89,13 +89,24 @@ def joined_extracts(files: DataFrame, separator: str = "\n\n---\n\n") -> DataFra
     return kept.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("file_name", "text"))), lambda x: x["text"]), separator).alias("text"))
 
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """(source_name) of finished work, from a text file of names; a missing file is an empty manifest."""
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, whatever its name; None if it is missing. Spark's readers pass over names with a leading _."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        return spark.createDataFrame([], "source_name string")
-    return spark.read.text(path).select(T.strip(F.col("value")).alias("source_name")).where("source_name <> ''").distinct()
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """(source_name) of finished work, from a text file of names; a missing file is an empty manifest."""
+    names = {x.strip() for x in (read_text(spark, path) or "").splitlines()} - {""}
+    return spark.createDataFrame([(x,) for x in sorted(names)], "source_name string")
 
 
 def read_embedding_json(texts: DataFrame, column: str = "value") -> DataFrame:

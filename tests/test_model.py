@@ -35,10 +35,13 @@ def test_breaker_opens_cools_and_resets():
     assert not s.is_available() and len(seen) == 1
     now[0] = breaker.COOL_DOWN_SECONDS
     assert s.is_available()
-    s.record_failure("err")
-    s.record_failure("err")
+    s.record_failure("err")  # the count stands: one more failure opens again
+    assert not s.is_available() and len(seen) == 2 and seen[1]["failures"] == 4
+    now[0] *= 2
+    assert s.is_available()
     s.record_success()
     s.record_failure("err")
+    s.record_failure("err")
     assert s.is_available()
 
 
@@ -51,7 +54,7 @@ def test_run_log_is_complete():
     log = breaker.RunLog()
     threads(10, lambda k: [log.record(f"w{k}", f"u{i}", "ok", 0.1, "e" * 900 if i == 0 else None) for i in range(50)])
     s = log.summary("extract", 10)
-    assert s["total_units"] == 500 and s["summary"] == {"ok": 500} and max(len(r.get("error", "")) for r in s["records"]) == 500
+    assert s["total_units"] == 500 and s["summary"] == {"ok": 500, "error": 0, "skip": 0} and max(len(r.get("error", "")) for r in s["records"]) == 500
     json.dumps(s)
 
 
@@ -100,20 +103,70 @@ def test_failover_and_exhaustion():
     assert not issubclass(streams.EndpointsExhausted, streams.ModelError)
 
 
-def test_network_retries_then_continuation():
-    answers = iter([ConnectionResetError("x"), sse("part one "), sse("part two " + END)])
-    sent, slept = [], []
+def test_continuation():
+    answers = iter([sse("part one "), sse("part two " + END)])
+    sent = []
 
     def transport(url, headers, payload, timeout):
         sent.append(payload["messages"])
-        x = next(answers)
+        return next(answers)
+
+    got = client.with_continuation(STAGE, [breaker.EndpointState(POINT)], "q", RUN, transport)
+    assert got == "part onepart two"  # answers are trimmed one by one
+    assert [m["content"] for m in sent[-1]][-1] == client.CONTINUE
+    assert sent[0][0] == {"role": "system", "content": client.SYSTEM}
+    assert sent[0][1]["content"] == f"<instructions>\nwrite {END}\n</instructions>\n\nq"
+
+
+def failing(errors, then):
+    left = iter(errors)
+
+    def transport(*_):
+        x = next(left, None)
         if isinstance(x, Exception):
             raise x
-        return x
+        return then if x is None else x
+
+    return transport
+
+
+def test_retry_budgets():
+    def busy(code):
+        return urllib.error.HTTPError("u", code, "busy", {}, None)
+
+    def run(errors, retries, then=None, slept=None, point=POINT):
+        return client.call(STAGE, point, [{"role": "user", "content": "q"}], RUN, failing(errors, then or sse("x")), retries, (slept if slept is not None else []).append)
+
+    slept = []
+    assert run([busy(429), ConnectionResetError("x"), sse(" "), urllib.error.URLError("no"), busy(524)], 3, slept=slept) == "x"
+    wait = RUN.retry_delay_seconds
+    assert slept == [wait, client.NETWORK_WAIT, client.EMPTY_WAIT, 2 * wait, 3 * wait]
+    for errors, retries in (([busy(503)], 0), ([ConnectionResetError("x")], 0), ([sse(" ")], 0), ([busy(503)] * 3, 2), ([busy(401)], 5), ([ConnectionResetError("x")] * 4, 9), ([sse("")] * 4, 9)):
+        with pytest.raises(streams.ModelError):
+            run(errors, retries)
+    answer = json.dumps({"output": [{"content": [{"type": "output_text", "text": "one"}, {"type": "other", "text": "no"}]}, {"content": None}, {"content": [{"type": "text", "text": "two"}]}]}).encode()
+    point = C.Endpoint("r", "http://x/v1/responses", "k")
+    assert run([], 0, [answer], point=point) == "one\ntwo"
+    assert run([], 0, [b'{"output_text": " whole "}'], point=point) == "whole"
+    with pytest.raises(streams.ModelError):
+        run([busy(524)], 1, [answer], point=point)
+    url, headers, body = client._payload(STAGE, point, [{"role": "user", "content": "q"}])
+    assert url == "http://x/v1/responses" and "messages" not in body and len(body["input"]) == 2 and "stream" not in body
+
+
+def test_unit_retries_and_exhaustion():
+    tried = []
+
+    def run(error):
+        tried.append(1)
+        raise error
 
-    got = client.with_continuation(STAGE, [breaker.EndpointState(POINT)], "q", RUN, transport, slept.append)
-    assert got == "part one part two" and slept == [client.NETWORK_WAIT]
-    assert [m["content"] for m in sent[-1]][-1] == client.CONTINUE and "<instructions>" in sent[-1][0]["content"]
+    with pytest.raises(streams.ModelError):
+        client.with_unit_retry(lambda: run(streams.ModelError("x")), lambda s: None)
+    assert len(tried) == client.UNIT_RETRIES + 1
+    with pytest.raises(streams.EndpointsExhausted):
+        client.with_unit_retry(lambda: run(streams.EndpointsExhausted("x")), lambda s: None)
+    assert len(tried) == client.UNIT_RETRIES + 2
 
 
 def test_embeddings_keep_order():
@@ -127,10 +180,44 @@ def test_embeddings_keep_order():
 
 
 def test_addresses():
-    assert client.openai_url("http://x") == "http://x/v1/chat/completions"
-    assert client.openai_url("http://x/v1/chat/completions/") == "http://x/v1/chat/completions"
-    assert client.anthropic_url("http://x/v1") == "http://x/v1/messages"
-    assert client.gemini_url("http://x/v1beta", "m") == "http://x/v1beta/models/m:generateContent"
+    chat = {"": "https://api.openai.com/v1/chat/completions", "http://x": "http://x/v1/chat/completions", "http://x/v1/": "http://x/v1/chat/completions", "http://x/v1/y": "http://x/v1/y/chat/completions", "http://x/proxy?q=1": "http://x/proxy/v1/chat/completions?q=1", "http://x/v1/chat/completions": "http://x/v1/chat/completions", "http://x/a/responses": "http://x/a/responses"}
+    assert {u: client.openai_url(u) for u in chat} == chat
+    messages = {"": "https://api.anthropic.com/v1/messages", "http://x/": "http://x/v1/messages", "http://x/v1": "http://x/v1/messages", "http://x/proxy": "http://x/proxy/messages", "http://x/v1/messages": "http://x/v1/messages"}
+    assert {u: client.anthropic_url(u) for u in messages} == messages
+    base = "https://generativelanguage.googleapis.com"
+    gemini = {
+        "": f"{base}/v1beta/models/m%2F1:generateContent?key=k%26",
+        "http://x": "http://x/v1beta/models/m%2F1:generateContent?key=k%26",
+        "http://x/v1beta": "http://x/v1beta/models/m%2F1:generateContent?key=k%26",
+        "http://x/p": "http://x/p/v1beta/models/m%2F1:generateContent?key=k%26",
+        "http://x/models": "http://x/models/m%2F1:generateContent?key=k%26",
+        "http://x/y/{model}:generateContent?z=1": "http://x/y/m%2F1:generateContent?z=1&key=k%26",
+        "http://x/{api_key}/{model}:generateContent": "http://x/k%26/m%2F1:generateContent",
+    }
+    assert {u: client.gemini_url(u, "m/1", "k&") for u in gemini} == gemini
+
+
+def test_answers_stream(monkeypatch):
+    """Lines are read as they come: a reader that stops early leaves the rest unread."""
+    taken = []
+
+    class Answer:
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            taken.append("closed")
+
+        def __iter__(self):
+            for x in [*sse("a"), b"data: late"]:
+                taken.append(x)
+                yield x
+
+    monkeypatch.setattr(client.urllib.request, "urlopen", lambda *_, **__: Answer())
+    lines = client.post("http://x", {}, {}, 1)
+    assert streams.read_openai(lines) == ("a", "stop")
+    lines.close()
+    assert taken[-1] == "closed" and b"data: late" not in taken
 
 
 def test_ask_over_rows(spark):
@@ -155,6 +242,37 @@ def test_ask_over_rows(spark):
 
     statuses = [r.status for r in ask(units, "k", "prompt", dead).collect()]
     assert set(statuses) == {"skip"}
+
+
+def test_a_stop_reaches_all_workers(spark):
+    units = spark.createDataFrame([(k, f"p{k}") for k in range(200)], "k int, prompt string").coalesce(1)
+
+    def build():
+        gate, seen = threading.Lock(), []
+
+        def answer(p):
+            with gate:
+                seen.append(p)
+                if len(seen) > 20:
+                    raise streams.EndpointsExhausted("none")
+            return p
+
+        return answer
+
+    out = [r.status for r in ask(units, "k", "prompt", build, 8).collect()]
+    assert len(out) == 200 and out.count("ok") == 20 and out.count("skip") == 180
+
+    def bad():
+        def answer(p):
+            raise streams.ModelError("bad")
+
+        return answer
+
+    out = [r.status for r in ask(units, "k", "prompt", bad, 1, give_up=3).collect()]
+    assert out.count("error") == 3 and out.count("skip") == 197
+
+
+def test_failed_batches_are_asked_singly(spark):
     files = spark.createDataFrame([(1, [("a", "x"), ("b", "y")]), (2, [("c", "z")])], "k int, items array<struct<name: string, text: string>>")
     answers = spark.createDataFrame([(1, "error"), (2, "ok")], "k int, status string")
     assert {r.name for r in retry_singly(files, answers, "k", "items").collect()} == {"a", "b"}

@@ -73,6 +73,34 @@ def test_merge_adjacent():
     assert folds.merge_adjacent([], 1) == []
 
 
+def test_old_rows_never_meet(spark, monkeypatch):
+    """Only blocks with a new row are made, whatever the number of old ones."""
+    monkeypatch.setattr(similarity, "BLOCK", 4)
+    rows = [(k, "t", f"same text number {k % 3}", k < 2) for k in range(60)]
+    df = spark.createDataFrame(rows, "part int, topic string, body string, is_new boolean")
+    got = {(r.a, r.b) for r in similarity.jaccard_intra(df, 0.99, ["part"], key="part").collect()}
+    assert got == {(a, b) for a in (0, 1) for b in range(2, 60) if a == b % 3}
+    v = spark.createDataFrame([(k, 1, [1.0, float(k % 2)], k % 5 == 0) for k in range(40)] + [(50, 1, [1.0], True), (51, 1, [1.0, None], True)], "id int, s int, v array<double>, is_new boolean")
+    got = {(r.a, r.b) for r in similarity.cosine_intra(v, 0.9, "id", "s", "v").collect()}
+    assert got == {(a, b) for a in range(0, 40, 5) for b in range(40) if (a - b) % 2 == 0 and a != b and (b % 5 or a < b)}
+
+
+def test_gram_numbers_are_exact(spark):
+    texts = ["abc", "ab", "日本語", "👩‍👩", "\U0010ffff\U0010fffe\U0010fffd"]
+    df = spark.createDataFrame([(texts,)], "g array<string>")
+    want = [sum((ord(c) << (42 - 21 * k)) for k, c in enumerate(t)) for t in texts]
+    assert df.select(similarity.gram_numbers(df.g).alias("n")).first().n == want
+
+
+def test_topic_digests(spark):
+    rows = [("t", k, f"b{k % 7}") for k in range(50)] + [("u", 1, "é")]
+    df = spark.createDataFrame(rows, "topic string, place int, body string").repartition(5)
+    got = {r.topic: (r.units, r.fingerprint) for r in topics.joined_digests(df, ["place"]).collect()}
+    assert got["t"] == (50, hashlib.sha256("".join(f"b{k % 7}" for k in range(50)).encode()).hexdigest()[:16])
+    assert got["u"] == (1, hashlib.sha256("é".encode()).hexdigest()[:16])
+    assert topics.tree_digests(df, [], "body").first().h == topics.tree_digests(df.repartition(2), [], "body").first().h
+
+
 def test_jaccard_blocks_are_exact(spark):
     rng = random.Random(3)
     base = ["".join(rng.choice("abcdefg") for _ in range(60)) for _ in range(12)]
@@ -88,7 +116,7 @@ def test_jaccard_blocks_are_exact(spark):
     def grams(t):
         return {t[i : i + 3] for i in range(len(t) - 2)}
 
-    for rule, keep in ((similarity.new_new(), lambda a, b: a[3] and b[3] and a[0] < b[0]), (similarity.new_old(), lambda a, b: a[3] and not b[3])):
+    for rule, keep in ((similarity.NEW_NEW, lambda a, b: a[3] and b[3] and a[0] < b[0]), (similarity.NEW_OLD, lambda a, b: a[3] and not b[3]), (None, lambda a, b: a[3] and (not b[3] or a[0] < b[0]))):
         got = {(r.a, r.b): r.sim for r in similarity.jaccard_intra(df, 0.6, ["part"], rule, key="part").collect()}
         want = {}
         for a in rows:

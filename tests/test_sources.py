@@ -1,3 +1,5 @@
+import threading
+
 from pyspark.sql import functions as F
 
 from quillstone.sources import files, sinks
@@ -62,6 +64,28 @@ def test_manifest_and_caches(spark, tmp_path):
     assert [(r.fingerprint, r.embedding) for r in files.read_embedding_json(e).collect()] == [("a", [1.0, 2.0])]
 
 
+def test_manifest_loses_no_line(spark, tmp_path):
+    """Threads that append to one manifest."""
+    names = [[f"t{t}_f{i}" for i in range(5)] for t in range(6)]
+    pool = [threading.Thread(target=lambda own=own: [sinks.append_lines(spark, [n], str(tmp_path), "m") for n in own]) for own in names]
+    for t in pool:
+        t.start()
+    for t in pool:
+        t.join(60)
+    assert {r.source_name for r in files.read_manifest(spark, str(tmp_path / "m")).collect()} == {n for own in names for n in own}
+
+
+def test_small_files(spark, tmp_path):
+    folder = str(tmp_path / "d")
+    assert sinks.read_text(spark, folder, "x") is None and sinks.read_json(spark, folder, "x") is None
+    for text in ("old é", "new", ""):
+        sinks.write_text(spark, text, folder, "x")
+        assert sinks.read_text(spark, folder, "x") == text
+    sinks.dump_json(spark, {"a": ["é"]}, folder, "j")
+    assert sinks.read_json(spark, folder, "j") == {"a": ["é"]}
+    assert sorted(p.name for p in (tmp_path / "d").iterdir() if not p.name.startswith(".")) == ["j", "x"]
+
+
 def test_stream_takes_each_unit_once(spark, tmp_path):
     source, table, state = (tmp_path / n for n in ("md", "units", "state"))
     source.mkdir()
