@@ -2,46 +2,18 @@
 
 from __future__ import annotations
 
-import atexit
-import re
-import shutil
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-_own_dir: dict[str, str] = {}
+from quillstone.operators.barrier import settled as staged
+
+__all__ = ["U64", "Memo", "mix64", "shuffle_partitions", "staged", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset, a fresh one, in local mode only (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not re.match(r"local(\[|$)", spark.sparkContext.master):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    if "dir" not in _own_dir:
-        _own_dir["dir"] = tempfile.mkdtemp(prefix="quillstone-")
-        atexit.register(shutil.rmtree, _own_dir["dir"], ignore_errors=True)
-    return _own_dir["dir"]
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: lineage ends at files that every
-    executor can see, so a lost executor costs no earlier work. The files go when the application ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(folder)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
