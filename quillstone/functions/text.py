@@ -108,10 +108,13 @@ def clean_for_ngrams(c: Column) -> Column:
 
 
 def ngrams(c: Column, n: int) -> Column:
-    """Distinct n-grams of a text's code points; none if it is shorter than n."""
-    last = F.char_length(c) - n + 1
-    starts = F.when(last > 0, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(c, i, F.lit(n))))
+    """Distinct n-grams of a text's code points; none if it is shorter than n. Linear in the text's length."""
+    letters = F.split(c, "")
+    many = F.greatest(F.size(letters) - (n - 1), F.lit(0))
+    runs = F.slice(letters, 1, many)
+    for k in range(1, n):
+        runs = F.zip_with(runs, F.slice(letters, k + 1, many), lambda a, b: F.concat(a, b))
+    return F.array_distinct(runs)
 
 
 def jaccard(a: Column, b: Column) -> Column:

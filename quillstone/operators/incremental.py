@@ -19,6 +19,13 @@ def with_is_new(units: DataFrame, known: DataFrame, key: str = "fingerprint") ->
     return units.join(marked, key, "left").withColumn("is_new", F.col("known").isNull()).drop("known")
 
 
+def unit_counts(units: DataFrame, known: DataFrame, key: str = "fingerprint") -> DataFrame:
+    """One row: total, new and known distinct fingerprints."""
+    marked = with_is_new(units.select(key).distinct(), known, key)
+    seen = known.agg(F.count_distinct(key).alias("known"))
+    return marked.agg(F.count("*").alias("total"), F.count_if("is_new").alias("new")).join(seen, F.lit(True))  # a row each
+
+
 def pending(items: DataFrame, manifest: DataFrame, key: str) -> DataFrame:
     """Items that the manifest of finished work doesn't name."""
     return items.join(manifest.select(key).distinct(), key, "left_anti")

@@ -102,6 +102,11 @@ def rule_judge(pairs: DataFrame, duplicate: float = 0.95, merge: float = 0.8) ->
     return pairs.withColumn("verdict", verdict).withColumn("keep", F.when(F.col("b_priority") < F.col("a_priority"), "B").otherwise("A")).withColumn("merged_text", F.when(F.col("verdict") == "MERGE", F.array_join(F.concat(F.split("a_body", "\n"), lines), "\n")))
 
 
+def merge_pending(judgments: DataFrame) -> DataFrame:
+    """MERGE judgments that still lack their text."""
+    return judgments.where("verdict = 'MERGE' AND coalesce(merged_text, '') = ''")
+
+
 def histogram(judgments: DataFrame) -> DataFrame:
     """One row: duplicate, merge_done, merge_pending, keep_both."""
     v, text = F.col("verdict"), F.coalesce("merged_text", F.lit(""))

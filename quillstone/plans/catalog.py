@@ -73,6 +73,19 @@ def topic_fingerprints(spark, sf_dir):
     return topics.topic_fingerprints(topic_units(spark, sf_dir))
 
 
+@query
+def topic_content_digests(spark, sf_dir):
+    """Digests of topics' bodies joined in the order in which they are written."""
+    u = topic_units(spark, sf_dir).select("topic", "body", *[c for c in ORDER if c != "tag_first"], F.col("tag_first.file_name").alias("f"), F.col("tag_first.part").alias("p"), F.col("tag_first.unit_pos").alias("q"))
+    return topics.joined_digests(u, ["priority", "f", "p", "q", *PLACE])
+
+
+@query
+def topic_sorted_digests(spark, sf_dir):
+    """Digests of topics' bodies joined in the order of the bodies, whatever their places."""
+    return topics.joined_digests(topic_units(spark, sf_dir).select("topic", "body"), ["body"])
+
+
 @query
 def priority_order(spark, sf_dir):
     return units.numbered(topic_units(spark, sf_dir).select("topic", *ORDER), ["topic"], ORDER, "rank").select("topic", "part", "rank")
@@ -252,6 +265,13 @@ def split_large(spark, sf_dir):
     return folds.split_large(table(spark, sf_dir, "documents"), "doc_id", "text", 4)
 
 
+@query
+def chunk_groups(spark, sf_dir):
+    """Chunks by the file they were cut from."""
+    cut = folds.split_large(table(spark, sf_dir, "documents"), "doc_id", "text", 4)
+    return cut.groupBy("doc_id").agg(F.count("*").alias("chunks"), F.sum(F.octet_length("chunk")).cast("long").alias("bytes"))
+
+
 @query
 def corpus_plan(spark, sf_dir):
     """Tasks of the extraction: whole files and chunks."""
@@ -375,6 +395,17 @@ def new_units(spark, sf_dir):
     return incremental.new_units(corpus_units(spark, sf_dir), known(spark, sf_dir)).select("part", "fingerprint")
 
 
+@query
+def unit_counts(spark, sf_dir):
+    """Distinct, new and known fingerprints."""
+    return incremental.unit_counts(corpus_units(spark, sf_dir), known(spark, sf_dir))
+
+
+@query
+def merge_pending(spark, sf_dir):
+    return verdicts.merge_pending(judgments(spark, sf_dir)).select("pair_key")
+
+
 @query
 def changelog_by_topic(spark, sf_dir):
     return reports.changelog_counts(incremental.new_units(topic_units(spark, sf_dir), known(spark, sf_dir)))

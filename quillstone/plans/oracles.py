@@ -193,3 +193,62 @@ ORACLE_SQL: dict[str, str] = {
     "topic_summary_after_dedup": "",
 }
 ORACLE_SQL["topic_summary_after_dedup"] = f"WITH r AS ({ORACLE_SQL['resolve_reference']}) SELECT topic, count(*) AS units, count(*) FILTER (priority = 0) AS p0 FROM r GROUP BY topic"
+
+
+def _split(source: str, max_bytes: int) -> str:
+    """CTEs that cut (id, text) of `source` into chunks (id, chunk_index, chunk_total, chunk).
+
+    Pieces are paragraphs, or the lines of a paragraph over the limit; a fold over a text's pieces numbers their
+    chunks. Kinds: 1 paragraph, 2 line, 3 line over the limit; `opens` marks the first line of a large paragraph.
+    """
+    m = max_bytes
+    shut = f"(x.opens OR x.kind = 3 OR (x.kind = 1 AND a.held AND a.used + x.size + 2 > {m}) OR (x.kind = 2 AND a.used + x.size + 1 > {m}))"
+    into = f"a.c + CAST(a.held AND {shut} AS INTEGER)"
+    return f"""
+large AS (SELECT id, string_split_regex(text, '\\n\\s*\\n') AS x FROM {source} WHERE strlen(text) > {m}),
+par AS (SELECT id, generate_subscripts(x, 1) AS p, unnest(x) AS t FROM large),
+ln AS (SELECT id, p, whole, generate_subscripts(x, 1) AS l, unnest(x) AS t FROM
+  (SELECT id, p, strlen(t) <= {m} AS whole, CASE WHEN strlen(t) <= {m} THEN [t] ELSE string_split(t, chr(10)) END AS x FROM par)),
+piece AS (SELECT id, p, l, t, CAST(strlen(t) AS BIGINT) AS size, CASE WHEN whole THEN 1 WHEN strlen(t) <= {m} THEN 2 ELSE 3 END AS kind, NOT whole AND l = 1 AS opens FROM ln),
+lists AS (SELECT id, list(t ORDER BY p, l) AS ts,
+  list(struct_pack(size := size, kind := kind, opens := opens, c := 1, used := 0::BIGINT, held := false, placed := []::INTEGER[]) ORDER BY p, l) AS xs FROM piece GROUP BY id),
+folded AS (SELECT id, ts, list_reduce(list_prepend(struct_pack(size := 0::BIGINT, kind := 0, opens := false, c := 1, used := 0::BIGINT, held := false, placed := []::INTEGER[]), xs),
+  lambda a, x: struct_pack(size := x.size, kind := x.kind, opens := x.opens, c := CAST({into} + CAST(x.kind = 3 AS INTEGER) AS INTEGER),
+    used := CAST(CASE WHEN x.kind = 3 THEN 0 ELSE (CASE WHEN {shut} THEN 0 ELSE a.used END) + x.size + CASE WHEN x.kind = 1 THEN 2 ELSE 1 END END AS BIGINT),
+    held := x.kind <> 3, placed := list_append(a.placed, CAST({into} AS INTEGER)))).placed AS placed FROM lists),
+places AS (SELECT id, generate_subscripts(ts, 1) AS i, unnest(ts) AS t, unnest(placed) AS chunk_index FROM folded),
+cut AS (SELECT id, chunk_index, string_agg(t, chr(10) || chr(10) ORDER BY i) AS chunk FROM places GROUP BY 1, 2),
+chunks AS (SELECT id, chunk_index, CAST(count(*) OVER (PARTITION BY id) AS INTEGER) AS chunk_total, chunk FROM cut)"""
+
+
+ORACLE_SQL |= {
+    "split_large": f"""WITH src AS (SELECT doc_id AS id, coalesce(text, '') AS text FROM documents), {_split('src', 4096)}
+      SELECT id AS doc_id, chunk_index, chunk_total, chunk FROM chunks UNION ALL SELECT id, 1, 1, text FROM src WHERE strlen(text) <= 4096""",
+    "corpus_plan": f"""WITH src AS (SELECT 'doc_' || doc_id || '.txt' AS id, coalesce(text, '') AS text FROM documents), {_split('src', 17408)}
+      SELECT 'normal' AS type, id AS source_name, text, round(strlen(text) / 1024.0::DOUBLE, 6) AS size_kb, NULL::INTEGER AS chunk_index, NULL::INTEGER AS chunk_total FROM src WHERE strlen(text) < 17408
+      UNION ALL SELECT 'chunk', id, text, 17.0, 1, 1 FROM src WHERE strlen(text) = 17408
+      UNION ALL SELECT 'chunk', id, chunk, round(strlen(chunk) / 1024.0::DOUBLE, 6), chunk_index, chunk_total FROM chunks""",
+    "merge_reduce": """WITH RECURSIVE parts AS (SELECT conv_id, turn, strlen(coalesce(text, '')) / 1024.0::DOUBLE AS kb FROM conversations WHERE role = 'assistant'),
+      r(conv_id, items, done, hit, ready) AS (
+        SELECT conv_id, list(struct_pack(s := kb, n := 1) ORDER BY turn), []::STRUCT(s DOUBLE, n INTEGER)[], false, false FROM parts GROUP BY conv_id
+        UNION ALL
+        SELECT conv_id,
+          CASE WHEN len(items) = 0 THEN CASE WHEN hit AND len(done) > 1 THEN done ELSE items END WHEN two THEN items[3:] ELSE items[2:] END,
+          CASE WHEN len(items) = 0 THEN CASE WHEN hit AND len(done) > 1 THEN [] ELSE done END
+            WHEN two THEN list_append(done, struct_pack(s := items[1].s + items[2].s, n := items[1].n + items[2].n)) ELSE list_append(done, items[1]) END,
+          CASE WHEN len(items) = 0 THEN false ELSE hit OR two END,
+          len(items) = 0 AND NOT (hit AND len(done) > 1)
+        FROM (SELECT *, len(items) >= 2 AND items[1].s + items[2].s <= 1.0 AS two FROM r WHERE NOT ready)),
+      g AS (SELECT conv_id, generate_subscripts(done, 1) - 1 AS merged, unnest(done).n AS n FROM r WHERE ready),
+      span AS (SELECT conv_id, merged, sum(n) OVER w - n AS first, sum(n) OVER w AS past FROM g WINDOW w AS (PARTITION BY conv_id ORDER BY merged)),
+      o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place FROM parts)
+      SELECT o.conv_id, turn, kb, CAST(merged AS INTEGER) AS merged FROM o JOIN span ON span.conv_id = o.conv_id AND place >= span.first AND place < past""",
+    "model_extract_fake": f"WITH {UNITS} SELECT part AS doc_id, tag, priority, title, fingerprint FROM units",
+    "topic_content_digests": f"WITH {UNITS} SELECT topic, count(*) AS units, substr(sha256(string_agg(body, '' ORDER BY pos)), 1, 16) AS fingerprint FROM tu GROUP BY topic",
+    "topic_sorted_digests": f"WITH {UNITS} SELECT topic, count(*) AS units, substr(sha256(string_agg(body, '' ORDER BY body)), 1, 16) AS fingerprint FROM tu GROUP BY topic",
+    "merge_pending": f"WITH {UNITS}, {JUDGMENTS} SELECT pair_key FROM j WHERE verdict = 'MERGE' AND merged_text IS NULL",
+    "unit_counts": f"""WITH {UNITS}, k AS (SELECT DISTINCT fingerprint FROM units WHERE part % 5 = 0), d AS (SELECT DISTINCT fingerprint FROM units)
+      SELECT (SELECT count(*) FROM d) AS total, (SELECT count(*) FROM d WHERE fingerprint NOT IN (SELECT fingerprint FROM k)) AS new, (SELECT count(*) FROM k) AS known""",
+    "chunk_groups": f"""WITH src AS (SELECT doc_id AS id, coalesce(text, '') AS text FROM documents), {_split('src', 4096)}
+      SELECT id AS doc_id, count(*) AS chunks, sum(strlen(chunk)) AS bytes FROM (SELECT id, chunk FROM chunks UNION ALL SELECT id, text FROM src WHERE strlen(text) <= 4096) GROUP BY 1""",
+}

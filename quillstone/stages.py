@@ -229,7 +229,7 @@ def judged(pairs: DataFrame, config: PipelineConfig, answer: Callable[[], Answer
 def merged(pairs: DataFrame, judgments: DataFrame, config: PipelineConfig, answer: Callable[[], Answerer]) -> tuple[DataFrame, DataFrame]:
     """(judgments, call records): MERGE judgments of these pairs get the texts they lack."""
     key = T.pair_key(F.col("a"), F.col("b"))
-    lacking = judgments.where("verdict = 'MERGE' AND coalesce(merged_text, '') = ''").select(F.col("pair_key").alias("unit"))
+    lacking = verdicts.merge_pending(judgments).select(F.col("pair_key").alias("unit"))
     prompts = settled(pairs.withColumn("unit", key).join(lacking, "unit", "left_semi").select("unit", verdicts.merge_prompt().alias("prompt")).dropDuplicates(["unit"]))
     asked = settled(ask(prompts, "unit", "prompt", answer, config.concurrency.max_workers, GIVE_UP))
     texts = asked.where("status = 'ok'").select(F.col("unit").alias("pair_key"), T.strip(T.strip_fences(F.col("answer"))).alias("new")).where("new <> ''")
@@ -306,7 +306,7 @@ def run_synthesize(spark: SparkSession, config: PipelineConfig, extracts: str, o
     known = _cache(spark, f"{work}/unit_fingerprints", signature, full, "fingerprint string")
     member = incremental.with_is_new(topics.with_first_seen(member), known)
     member = settled(member.select("*", *[F.col(c).alias(n) for n, c in FIRST.items()]).drop("tag_first"))
-    n_all, n_new, n_known = member.count(), member.where("is_new").count(), known.count()
+    n_all, n_new, n_known = (incremental.unit_counts(member, known).first()[c] for c in ("total", "new", "known"))
     log.info("synthesize: %s units, %s new, %s known", n_all, n_new, n_known)
 
     old = _cache(spark, f"{work}/dedup_judgments", signature, full, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in JUDGMENT.fields))

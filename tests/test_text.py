@@ -1,8 +1,7 @@
-"""Column expressions against plain Python restatements of the rules."""
+"""Column expressions against literal answers and what holds of any text."""
 
 import hashlib
 import json
-import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,7 +9,33 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import text as T
 
-ODD = ["", " ", "a", "## [t][P1] x", "##[t] [P0]　title　", "## [a][b] [P2] no", "## [x][P9] y", "## plain [P1]", "x y", "\x1c a \x85", "　全角　", "a/b\\c:d*?", "...", "._a b_.", "é" * 90, "```md\nx\n```", "```\n```", "```python\nx\n```", "``` markdown \nbody ``` tail ```", "no\nfence", "```text\n\n a \n```\nafter", "tab\there", 'q"uote\n\x01', "<>|"]
+#: (text, without fences, as a file name, header of the text on one line)
+ODD = [
+    ('', '', 'untitled', ('未分类', 3, '')),
+    (' ', '', 'untitled', ('未分类', 3, '')),
+    ('a', 'a', 'a', ('未分类', 3, 'a')),
+    ('## [t][P1] x', '## [t][P1] x', '##_[t][P1]_x', ('t', 1, 'x')),
+    ('##[t] [P0]\u3000title\u3000', '##[t] [P0]\u3000title', '##[t]_[P0]_title', ('t', 0, 'title')),
+    ('## [a][b] [P2] no', '## [a][b] [P2] no', '##_[a][b]_[P2]_no', ('未分类', 2, 'no')),
+    ('## [x][P9] y', '## [x][P9] y', '##_[x][P9]_y', ('未分类', 3, 'y')),
+    ('## plain [P1]', '## plain [P1]', '##_plain_[P1]', ('未分类', 1, 'plain [P1]')),
+    ('x\u2028y', 'x\u2028y', 'x_y', ('未分类', 3, 'x\u2028y')),
+    ('\x1c a \x85', 'a', 'a', ('未分类', 3, 'a')),
+    ('\u3000全角\u3000', '全角', '全角', ('未分类', 3, '全角')),
+    ('a/b\\c:d*?', 'a/b\\c:d*?', 'a_b_c_d', ('未分类', 3, 'a/b\\c:d*?')),
+    ('...', '...', 'untitled', ('未分类', 3, '...')),
+    ('._a b_.', '._a b_.', 'a_b', ('未分类', 3, '._a b_.')),
+    ("é" * 90, "é" * 90, "é" * 90, ('未分类', 3, "é" * 90)),
+    ('```md\nx\n```', 'x', '```md_x_```', ('未分类', 3, '```md x ```')),
+    ('```\n```', '', '```_```', ('未分类', 3, '``` ```')),
+    ('```python\nx\n```', '```python\nx\n```', '```python_x_```', ('未分类', 3, '```python x ```')),
+    ('``` markdown \nbody ``` tail ```', '``` markdown \nbody ``` tail ```', '```_markdown__body_```_tail_```', ('未分类', 3, '``` markdown  body ``` tail ```')),
+    ('no\nfence', 'no\nfence', 'no_fence', ('未分类', 3, 'no fence')),
+    ('```text\n\n a \n```\nafter', 'a', '```text___a__```_after', ('未分类', 3, '```text   a  ``` after')),
+    ('tab\there', 'tab\there', 'tab_here', ('未分类', 3, 'tab\there')),
+    ('q"uote\n\x01', 'q"uote\n\x01', 'q_uote', ('未分类', 3, 'q"uote \x01')),
+    ('<>|', '<>|', 'untitled', ('未分类', 3, '<>|')),
+]
 letters = st.lists(st.sampled_from([*"ab# []P0123/\\:*?._-`\n\t　\x1cé", "markdown", "```"]), max_size=30).map("".join)
 
 
@@ -19,55 +44,40 @@ def run(spark, texts, expr):
     return [r.v for r in df.select("k", expr(F.col("t")).alias("v")).orderBy("k").collect()]
 
 
-def fences(text):
-    s = text.strip()
-    head, nl, body = s.partition("\n")
-    if not nl or not re.fullmatch(r"```(?:markdown|md|text)?", head.strip(), re.I) or "```" not in body:
-        return s
-    return body[: body.rindex("```")].strip()
-
-
-def filename(name):
-    v = re.sub(r'[<>:"/\\|?*\x00-\x1f]', "_", name.strip().replace("\\", "/"))
-    return re.sub(r"\s+", " ", v).strip().replace(" ", "_").strip("._") or "untitled"
-
-
-def header(line):
-    m = re.match(r"^##\s*\[([^\]]+)\]\s*\[P([012])\]\s*(.*)", line)
-    if m:
-        return m[1].strip(), int(m[2]), m[3].strip()
-    p = next((k for k in (0, 1, 2) if f"[P{k}]" in line), 3)
-    return "未分类", p, re.sub(r"^##\s*(\[[^\]]*\]\s*)*", "", line).strip()
-
-
 def test_rules_on_odd_texts(spark):
-    assert run(spark, ODD, T.strip) == [t.strip() for t in ODD]
-    assert run(spark, ODD, T.strip_fences) == [fences(t) for t in ODD]
-    assert run(spark, ODD, T.safe_filename) == [filename(t) for t in ODD]
-    assert run(spark, ODD, T.fingerprint) == [hashlib.sha256(t.encode()).hexdigest()[:16] for t in ODD]
-    assert [tuple(r) for r in run(spark, [t.replace("\n", " ") for t in ODD], T.unit_header)] == [header(t.replace("\n", " ")) for t in ODD]
-    sizes = run(spark, ODD, lambda c: T.payload_kb(F.lit("n"), c))
-    assert sizes == [len(json.dumps({"source_file": "n", "content": t}, ensure_ascii=False).encode()) / 1024 for t in ODD]
+    texts = [r[0] for r in ODD]
+    assert run(spark, texts, T.strip) == [t.strip() for t in texts]
+    assert run(spark, texts, T.strip_fences) == [r[1] for r in ODD]
+    assert run(spark, texts, T.safe_filename) == [r[2] for r in ODD]
+    assert [tuple(r) for r in run(spark, [t.replace("\n", " ") for t in texts], T.unit_header)] == [r[3] for r in ODD]
+    assert run(spark, texts, T.fingerprint) == [hashlib.sha256(t.encode()).hexdigest()[:16] for t in texts]
+    sizes = run(spark, texts, lambda c: T.payload_kb(F.lit("n"), c))
+    assert sizes == [len(json.dumps({"source_file": "n", "content": t}, ensure_ascii=False).encode()) / 1024 for t in texts]
 
 
 @settings(max_examples=20, deadline=None)
 @given(st.lists(letters, min_size=1, max_size=40))
 def test_rules_on_random_texts(spark, texts):
-    assert run(spark, texts, T.strip_fences) == [fences(t) for t in texts]
-    assert run(spark, texts, T.safe_filename) == [filename(t) for t in texts]
-
-
-def grams(t, n):
-    c = re.sub(r"\s+", "", re.sub(r"[#*\-|>\[\](){}]", "", t))
-    return {c[i : i + n] for i in range(len(c) - n + 1)}
+    """What holds of any text: names hold no letter that a path can't, and stay as they are when named again;
+    a text without an opening fence is only trimmed; of a fenced one, what comes out stood between the fences."""
+    names = run(spark, texts, T.safe_filename)
+    assert all(n and not set(n) & set('<>:"/\\|?*\n\t ') and n == n.strip("._") for n in names)
+    assert run(spark, names, T.safe_filename) == names
+    for t, plain in zip(texts, run(spark, texts, T.strip_fences), strict=True):
+        assert plain in t and plain == plain.strip()
+        assert t.strip().startswith("```") or plain == t.strip()
+    inner = [t.replace("`", "") for t in texts]
+    assert run(spark, [f" ```markdown\n{t}\n``` " for t in inner], T.strip_fences) == [t.strip() for t in inner]
 
 
 def test_ngrams_and_jaccard(spark):
-    texts = ["abcabc", "abcd", "", "a", "日本語テキスト", "## x-y|z", "ab  c d", "👩‍👩‍👧 ok"]
+    """Every run of n code points of the cleaned text, and no other."""
+    cleaned = {"abcabc": "abcabc", "abcd": "abcd", "": "", "a": "a", "日本語テキスト": "日本語テキスト", "## x-y|z": "xyz", "ab  c d": "abcd", "👩‍👩‍👧 ok": "👩‍👩‍👧ok"}
+    assert run(spark, list(cleaned), T.clean_for_ngrams) == list(cleaned.values())
     for n in (2, 3):
-        got = run(spark, texts, lambda c: T.ngrams(T.clean_for_ngrams(c), n))
-        assert [set(g) for g in got] == [grams(t, n) for t in texts]
-        assert all(len(g) == len(set(g)) for g in got)
+        for t, found in zip(cleaned.values(), run(spark, list(cleaned.values()), lambda c: T.ngrams(c, n)), strict=True):
+            assert len(found) == len(set(found)) and all(len(g) == n and g in t for g in found)
+            assert all(t[i : i + n] in found for i in range(len(t) - n + 1))
     df = spark.createDataFrame([(["a", "b"], ["b", "c"]), ([], ["a"]), ([], [])], "a array<string>, b array<string>")
     assert [r.v for r in df.select(T.jaccard(F.col("a"), F.col("b")).alias("v")).collect()] == [1 / 3, 0.0, 0.0]
 
