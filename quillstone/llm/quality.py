@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.toxicity import training_rows
+from quillstone.llm.common import staged
+from quillstone.llm.toxicity import carried_names, training_rows
 
 HASHED = 32
 _SETS = ["\n", "!", "?", "|", "#", "$", "%", "&", "*", "<>[]{}\\^~`=+_@", ",", ";:", ".", "'\"", "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", " \t\r"]
@@ -91,25 +92,79 @@ class QualityModel:
         return 1 / (1 + np.exp(-self.mix.logit(z)))
 
 
-def co_train(labelled: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int = 4, sure: float = 0.95, share: float = 0.1) -> QualityModel:
-    """labelled and pool: one matrix a view. Every fifth labelled row is kept for calibration."""
+class Pool:
+    """Unlabelled rows in memory: a matrix a view."""
+
+    def __init__(self, views: list[np.ndarray]):
+        self.views, self.free = views, [np.ones(len(views[0]), bool) for _ in views]
+
+    def surest(self, models: list[Logistic], sure: float, want: dict[tuple[int, float], int]) -> dict[tuple[int, float], np.ndarray]:
+        """By (view, label): the other view's numbers of at most so many rows that the view is surest of; each goes
+        to a view once."""
+        out = {}
+        for (k, label), n in want.items():
+            p = 1 / (1 + np.exp(-models[k].logit(self.views[k]))) if len(self.views[k]) else np.zeros(0)
+            trust, other = p if label else 1 - p, 1 - k
+            order = np.argsort(-trust, kind="stable")
+            take = order[(trust[order] >= sure) & self.free[other][order]][:n]
+            self.free[other][take] = False
+            out[k, label] = self.views[other][take]
+        return out
+
+
+class TablePool:
+    """All unlabelled rows, (id, view0, view1) in a table: scored where they lie, only the rows asked for come back."""
+
+    def __init__(self, table: DataFrame):
+        self.table = table
+        self.taken: list[set[int]] = [set(), set()]
+
+    def surest(self, models: list[Logistic], sure: float, want: dict[tuple[int, float], int]) -> dict[tuple[int, float], np.ndarray]:
+        shared = self.table.sparkSession.sparkContext.broadcast((models, self.taken))
+
+        def score(batches):
+            models, taken = shared.value
+            for b in batches:
+                ids = b.column(0).to_numpy()
+                p = [1 / (1 + np.exp(-m.logit(_unpacked(b.column(1 + k))))) if len(b) else np.zeros(0) for k, m in enumerate(models)]
+                free = [~np.isin(ids, list(taken[1 - k])) for k in range(len(models))]
+                yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(x) for x in p], *[pa.array(x) for x in free]], ["id", "p0", "p1", "free0", "free1"])
+
+        scored = staged(self.table.mapInArrow(score, "id long, p0 double, p1 double, free0 boolean, free1 boolean"), "pool")
+        tops = None
+        for (k, label), n in want.items():
+            trust = F.col(f"p{k}") if label else 1 - F.col(f"p{k}")
+            top = scored.where(F.col(f"free{k}") & (trust >= sure)).select("id", trust.alias("trust"), F.lit(k).alias("view"), F.lit(label).alias("label")).orderBy(F.desc("trust"), "id").limit(n)
+            tops = top if tops is None else tops.unionByName(top)
+        found = tops.join(self.table, "id").groupBy("id", "view", "label").agg(F.min(F.struct("view0", "view1")).alias("v")).select("id", "view", "label", "v.*").toPandas()
+        out = {}
+        for k, label in want:
+            mine = found[(found["view"] == k) & (found["label"] == label)].sort_values("id")
+            mine = mine[~mine["id"].isin(self.taken[1 - k])]
+            self.taken[1 - k].update(mine["id"].tolist())
+            out[k, label] = _unpacked(mine[f"view{1 - k}"])
+        return out
+
+
+def _unpacked(blobs) -> np.ndarray:
+    raw = [x.as_py() if hasattr(x, "as_py") else x for x in blobs]
+    return np.frombuffer(b"".join(raw)).reshape(len(raw), -1) if raw else np.zeros((0, 0))
+
+
+def co_train(labelled: list[np.ndarray], y: np.ndarray, pool, rounds: int = 4, sure: float = 0.95, share: float = 0.1) -> QualityModel:
+    """labelled: one matrix a view; pool: the same of unlabelled rows, or a TablePool. Every fifth labelled row is
+    kept for calibration. In a round each view hands the other at most `share` of its training rows a label."""
     held = np.arange(len(y)) % 5 == 0
     if len(np.unique(y[~held])) < 2 or len(np.unique(y[held])) < 2:
         return QualityModel([], [], None, 1.0 if not len(y) or y.mean() >= 0.5 else 0.0)
+    pool = Pool(pool) if isinstance(pool, list) else pool
     own = [(x[~held], y[~held]) for x in labelled]
-    free = [np.ones(len(pool[0]), bool) for _ in pool]
     for _ in range(rounds):
         models = [fit_logistic(*t) for t in own]
-        for k, m in enumerate(models):
-            other = 1 - k
-            p = 1 / (1 + np.exp(-m.logit(pool[k]))) if len(pool[k]) else np.zeros(0)
-            for label in (0.0, 1.0):
-                trust = p if label else 1 - p
-                order = np.argsort(-trust, kind="stable")
-                order = order[(trust[order] >= sure) & free[other][order]]
-                take = order[: max(1, int(share * (own[other][1] == label).sum()))]
-                free[other][take] = False
-                own[other] = np.concatenate([own[other][0], pool[other][take]]), np.concatenate([own[other][1], np.full(len(take), label)])
+        want = {(k, label): max(1, int(share * (own[1 - k][1] == label).sum())) for k in (0, 1) for label in (0.0, 1.0)}
+        for (k, label), rows in pool.surest(models, sure, want).items():
+            if len(rows):
+                own[1 - k] = np.concatenate([own[1 - k][0], rows]), np.concatenate([own[1 - k][1], np.full(len(rows), label)])
     models = [fit_logistic(*t) for t in own]
     z = [m.logit(x[held])[:, None] for m, x in zip(models, labelled, strict=True)]
     calibrations = [fit_logistic(a, y[held], 0.1) for a in z]
@@ -127,23 +182,31 @@ def _matrices(got) -> list[np.ndarray]:
     return [np.array(content).reshape(len(got), len(_SETS) + 9), np.array(meta).reshape(len(got), HASHED + 6)]
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = 8_000, pool_rows: int = 4_000, chars: int = 50_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", size_col: str = "n_chars") -> QualityModel:
-    """Train on the driver from bounded samples: at most `rows` labelled documents (a fifth of all ids, by
-    crc32, stays unseen) and a pool of at most `pool_rows` without labels, of at most `chars` characters each."""
+def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = 8_000, chars: int = 50_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", size_col: str = "n_chars") -> QualityModel:
+    """Train on at most `rows` labelled documents of at most `chars` characters (a fifth of all ids, by crc32, stays
+    unseen) and on all documents without a label, whole, which stay on the executors: a round brings back as many
+    as it labels. Rows that repeat an id count once; a null id or text stays out of the pool."""
     extra = [F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), F.col(size_col).cast("long").alias("size")]
     got = training_rows(docs, labels, "quality", rows, chars, id_col, text_col, extra).toPandas().sort_values("id")
-    src = views_of(docs, id_col, text_col, lang_col, source_col, size_col, [])
+    src = views_of(docs, id_col, text_col, lang_col, source_col, size_col, []).where("id IS NOT NULL AND text IS NOT NULL")
     known = labels.select(F.col("doc_id").cast("long").alias("id")).distinct()
-    chosen = src.where("id IS NOT NULL AND text IS NOT NULL").where(F.length("text") <= chars).select("id").join(known, "id", "left_anti").distinct().orderBy(F.xxhash64("id"), "id").limit(pool_rows)
-    pool = src.where(F.col("text").isNotNull()).join(F.broadcast(chosen), "id").dropDuplicates(["id"]).toPandas().sort_values("id")
-    return co_train(_matrices(got), got["y"].to_numpy(float), _matrices(pool))
+
+    def measure(batches):
+        for b in batches:
+            views = _matrices(_Rows({n: b.column(k).to_pylist() for k, n in enumerate(("id", "text", "lang", "source", "size"))}))
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([x.tobytes() for x in v], pa.binary()) for v in views]], ["id", "view0", "view1"])
+
+    measured = src.mapInArrow(measure, "id long, view0 binary, view1 binary")
+    pool = staged(measured.join(known, "id", "left_anti"), "unlabelled")
+    return co_train(_matrices(got), got["y"].to_numpy(float), TablePool(pool))
 
 
 def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", size_col: str = "n_chars", carry: list[str] | None = None) -> DataFrame:
     """(id, score, carried columns): probability that a document's quality label is 1, for every row's whole text.
 
-    Null and empty texts are scored as texts without words; null metadata is a value of its own. Nulls and
-    repeats in the id pass through, a row each. Without labels of both kinds every score is 1 (0 where all
+    Null and empty texts are scored as texts without words; null metadata is a value of its own. Ids are whole
+    numbers; nulls and repeats pass through, a row each. A carried column with a name of this operator's own comes
+    out as name_carried. Without labels of both kinds every score is 1 (0 where all
     labels are 0). An empty table gives no rows; other columns than those named are not read. No shuffle; the
     model is a few hundred numbers.
     """
@@ -159,7 +222,7 @@ def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
 
     more = "".join(f", c{k} {src.schema[f'c{k}'].dataType.simpleString()}" for k in range(len(carried)))
     out = src.mapInArrow(run, f"id long, score double{more}")
-    return out.select(F.col("id").alias(id_col), "score", *[F.col(f"c{k}").alias(c) for k, c in enumerate(carried)])
+    return out.select(F.col("id").alias(id_col), "score", *[F.col(f"c{k}").alias(c) for k, c in enumerate(carried_names(carried, (id_col, "score")))])
 
 
 class _Rows(dict):

@@ -183,13 +183,20 @@ def fit_weights(names: list[str], labels: np.ndarray, per_doc, sizes, feats, ste
 def training_rows(docs: DataFrame, labels: DataFrame, column: str, rows: int, chars: int, id_col: str, text_col: str, extra: list[str] | None = None) -> DataFrame:
     """At most `rows` labelled documents (id, text, y, extra) of at most `chars` characters, by hash of the id.
 
-    Only ids whose crc32 (of their decimal text) leaves a remainder by 5 are taken; the rest stay unseen.
+    Only ids whose crc32 (of their decimal text) leaves a remainder by 5 are taken; the rest stay unseen. Of rows
+    that repeat an id the one of smallest text (then smallest extra columns) counts. Ids are whole numbers.
     """
     ids = labels.where(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1) & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0))
     ids = ids.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(column).cast("int").alias("y")).orderBy(F.xxhash64("id"), "id").limit(rows)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *(extra or []))
     src = src.where(F.col("text").isNotNull() & (F.length("text") <= chars))
-    return src.join(F.broadcast(ids), "id").dropDuplicates(["id"])  # the limit bounds the broadcast
+    joined = src.join(F.broadcast(ids), "id")  # the limit bounds the broadcast
+    return joined.groupBy("id").agg(F.min(F.struct("text", *[c for c in src.columns if c not in ("id", "text")], "y")).alias("r")).select("id", "r.*")
+
+
+def carried_names(carry: list[str], own: tuple[str, ...]) -> list[str]:
+    """Names under which carried columns come out: one that clashes with an operator's own gets _carried."""
+    return [f"{c}_carried" if c in own else c for c in carry]
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = 8_000, chars: int = 50_000, id_col: str = "doc_id", text_col: str = "text", least: float = 24.0, most: int = 20_000) -> ToxicityModel:
@@ -251,7 +258,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
 
     Null and empty texts have no sentence and score 0. Nulls and repeats in the id pass through, a row each.
     Without labels of both kinds there are no weights and scores are near 0. An empty table gives no rows.
-    Columns other than `carry` are not read. No shuffle; the weights' number is bounded by `most` in train().
+    Columns other than `carry` are not read; a carried column with a name of this operator's own comes out as
+    name_carried. No shuffle; the weights' number is bounded by `most` in train().
     """
     weights = docs.sparkSession.sparkContext.broadcast(model.weights)
     carried = carry or []
@@ -267,4 +275,4 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
 
     kind = [f"{f.name} {f.dataType.simpleString()}" for f in src.schema.fields]
     out = src.mapInArrow(run, ", ".join([kind[0], "score double, offending array<struct<start:int,end:int,score:double>>", *kind[2:]]))
-    return out.select(F.col("id").alias(id_col), "score", "offending", *[F.col(f"c{k}").alias(c) for k, c in enumerate(carried)])
+    return out.select(F.col("id").alias(id_col), "score", "offending", *[F.col(f"c{k}").alias(c) for k, c in enumerate(carried_names(carried, (id_col, "score", "offending")))])

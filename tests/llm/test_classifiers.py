@@ -56,7 +56,7 @@ def test_toxicity_operator(spark):
     labels = spark.createDataFrame([(k, v, None) for k, v in enumerate(y)] + [(None, 1, 1), (3, None, 0)], "doc_id long, toxic int, quality int")
     out = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels), carry=["lang", "score"])
     rows = out.collect()
-    assert len(rows) == docs.count() and out.columns == ["doc_id", "score", "offending", "lang", "score"]
+    assert len(rows) == docs.count() and out.columns == ["doc_id", "score", "offending", "lang", "score_carried"]
     assert toxicity.score_toxicity(docs.limit(0), toxicity.ToxicityModel({})).count() == 0
     assert toxicity.fit_toxicity(docs.limit(0), labels).weights == {}
 
@@ -81,6 +81,31 @@ def test_held_out_labels_are_not_read(spark):
     assert toxicity.fit_toxicity(docs, true).weights == toxicity.fit_toxicity(docs, turned).weights
 
 
+def test_repeated_ids_train_on_their_least_text(spark):
+    texts, y = corpus(5, 300)
+    labels = spark.createDataFrame(list(enumerate(y)), "doc_id long, toxic int")
+    want = toxicity.fit_toxicity(documents(spark, list(enumerate(texts))), labels).weights
+    twice = [*enumerate(texts), *((k, "~ later " + t) for k, t in enumerate(texts))]
+    random.Random(1).shuffle(twice)
+    assert want and toxicity.fit_toxicity(documents(spark, twice).repartition(7), labels).weights == want
+
+
+def test_toxicity_query_is_the_noisy_or_of_its_weights(spark):
+    """Every score of the query worked out plainly from the fitted weights."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    weights = toxicity.fit_toxicity(docs, labels).weights
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert weights
+    for r in queries.op3_toxicity(spark, sf).collect():
+        stay = 1.0
+        for sentence in toxicity.SENTENCE.findall(texts[r.doc_id]):
+            words = [w.lower().strip(toxicity.EDGES) for w in sentence.split()]
+            names = [n for w in words for n in ([w + "$"] if w else []) + [w[:k] for k in (3, 4, 5, 6) if len(w) >= k]]
+            stay *= 1 - 1 / (1 + math.exp(-max(-700.0, min(700.0, toxicity.BIAS + sum(weights.get(n, 0.0) for n in names)))))
+        assert math.isclose(r.score, 1 - stay, rel_tol=1e-6, abs_tol=1e-9) and r.predicted == (r.score >= 0.5)
+
+
 def test_toxicity_query_held_out(spark):
     sf = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
@@ -119,6 +144,39 @@ def test_co_training_uses_the_pool():
     assert got > 0.95 and got >= base - 0.005
 
 
+def test_a_table_pool_is_the_pool(spark):
+    rng = np.random.RandomState(2)
+    y = rng.randint(0, 2, 900)
+    views = [y[:, None] * 1.5 + rng.standard_normal((900, 5)) for _ in range(2)]
+    rows = [(k, views[0][k].tobytes(), views[1][k].tobytes()) for k in range(80, 900)]
+    table = spark.createDataFrame(rows, "id long, view0 binary, view1 binary").repartition(6)
+    first = [v[:80] for v in views]
+    mine = quality.co_train(first, y[:80].astype(float), quality.TablePool(table))
+    want = quality.co_train(first, y[:80].astype(float), [v[80:] for v in views])
+    alone = quality.co_train(first, y[:80].astype(float), [v[:0] for v in views])
+    assert np.allclose(mine.score(views), want.score(views), atol=1e-6) and not np.allclose(mine.score(views), alone.score(views), atol=1e-6)
+
+
+def test_quality_query_is_its_views_and_weights(spark):
+    """Every score of the query worked out plainly from the fitted numbers."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit_quality(docs, labels)
+    rows = {r.doc_id: r for r in docs.collect()}
+
+    def line(m, x):
+        return sum(((a - b) / c) * w for a, b, c, w in zip(x, m.mean, m.scale, m.weights[1:], strict=True)) + m.weights[0]
+
+    def clipped(z):
+        return max(-30.0, min(30.0, z))
+
+    for r in queries.op10_quality(spark, sf).collect():
+        d = rows[r.doc_id]
+        seen = [quality.content_view(d.text), quality.metadata_view(d.lang, d.source, d.n_chars)]
+        z = [clipped(line(c, [clipped(line(v, x))])) for v, c, x in zip(model.views, model.calibrations, seen, strict=True)]
+        assert math.isclose(r.score, 1 / (1 + math.exp(-clipped(line(model.mix, z)))), rel_tol=1e-6)
+
+
 def test_quality_without_labels():
     none = quality.co_train([np.zeros((0, 2))] * 2, np.zeros(0), [np.zeros((0, 2))] * 2)
     assert none.score([np.zeros((3, 2))] * 2).tolist() == [1, 1, 1]
