@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 from quillstone.llm.common import Memo, staged
 
-MEMO = 400_000
+#: Words whose weight a worker keeps; words whose features a task keeps while it counts or marks; features that it
+#: counts before it gives them back. They bound memory, never results.
+MEMO, FEATURE_MEMO, COUNTED = 200_000, 30_000, 100_000
 SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*|[.!?\n]+")
 EDGES = " \t\r\n.,;:!?\"'()[]{}|#$%&*-_/\\<>«»“”„’…"
 #: Log-odds of a sentence without any weighted word.
@@ -107,7 +109,7 @@ class FeatureCounts:
     """Documents of each label that hold a feature."""
 
     def __init__(self):
-        self.of_word = Memo(word_features, MEMO)
+        self.of_word = Memo(word_features, FEATURE_MEMO)
         self.counts: dict[tuple[int, str], list[int]] = {}
 
     def add(self, text: str, label: int) -> None:
@@ -136,7 +138,7 @@ def marked(text: str, of_word: dict[str, list[int]]) -> tuple[int, list[int], li
 def numbers_of(chosen: list[tuple[int, str]]) -> Memo:
     """Chosen features of each word, as places in the list."""
     place = {f: k for k, f in enumerate(chosen)}
-    return Memo(lambda w: [place[f] for f in word_features(w) if f in place], MEMO)
+    return Memo(lambda w: [place[f] for f in word_features(w) if f in place], FEATURE_MEMO)
 
 
 def train(texts: list[str], labels: list[int], least: float = 24.0, most: int = 20_000, steps: int = 300) -> ToxicityModel:
@@ -215,7 +217,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = 8_000, chars: i
         for b in batches:
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 counted.add(t, y)
-                if len(counted.counts) >= MEMO:
+                if len(counted.counts) >= COUNTED:
                     yield counted.batch()
         yield counted.batch()
 
