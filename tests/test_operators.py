@@ -85,11 +85,13 @@ def test_old_rows_never_meet(spark, monkeypatch):
     assert got == {(a, b) for a in range(0, 40, 5) for b in range(40) if (a - b) % 2 == 0 and a != b and (b % 5 or a < b)}
 
 
-def test_gram_numbers_are_exact(spark):
-    texts = ["abc", "ab", "日本語", "👩‍👩", "\U0010ffff\U0010fffe\U0010fffd"]
-    df = spark.createDataFrame([(texts,)], "g array<string>")
-    want = [sum((ord(c) << (42 - 21 * k)) for k, c in enumerate(t)) for t in texts]
-    assert df.select(similarity.gram_numbers(df.g).alias("n")).first().n == want
+def test_gram_numbers_are_exact():
+    """One number a run of code points, whatever the letters; none of a shorter text."""
+    top = "\U0010ffff\U0010fffe\U0010fffd"
+    for t in ("abcabc", "ab", "", None, "日本語テキスト", "👩‍👩‍👧ok", top):
+        for n in (2, 3):
+            runs = {(t or "")[i : i + n] for i in range(len(t or "") - n + 1)}
+            assert similarity.gram_numbers(t, n).tolist() == sorted(sum(ord(c) << 21 * (n - 1 - k) for k, c in enumerate(g)) for g in runs)
 
 
 def test_topic_digests(spark):
