@@ -163,3 +163,17 @@ def test_long_chains_have_one_root(spark):
     edges = spark.createDataFrame(list(zip(fps, fps[1:], strict=False)), "a string, b string").coalesce(1)
     got = resolve.smallest_reachable(edges).collect()
     assert len(got) == 90 and {r.root for r in got} == {min(fps)}
+
+
+def test_units_and_topics_deal_no_texts_out(spark, sf):
+    """Mapping and first places are broadcast: by a join on tags, all texts of a frequent tag would meet in one task."""
+    from quillstone.plans.bridge import topic_units
+
+    plan = topic_units(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 2
+
+
+def test_units_with_odd_line_ends(spark):
+    texts = {"a": "\r## [t][P1] one\r\rx\r\n\r\n## two\n　\x1c\r", "b": "\n\n## ## no\n## yes", "c": "##　no\n## a"}
+    got = [(r.file_name, r.unit_pos, r.body) for r in units.parse_units(spark.createDataFrame(list(texts.items()), "file_name string, text string")).orderBy("file_name", "unit_pos").collect()]
+    assert got == [("a", 1, "## [t][P1] one\n\nx"), ("a", 2, "## two"), ("b", 0, "## ## no"), ("b", 1, "## yes"), ("c", 1, "## a")]
