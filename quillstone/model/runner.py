@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import threading
 import time
-from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
@@ -30,6 +29,8 @@ def batch_prompt(items: Column) -> Column:
 
 #: Threads of one task; more workers than that are spread over several tasks.
 THREADS = 16
+#: Calls, and letters of their prompts, that the workers of a task share out before the answers are sent on.
+CALLS, LETTERS = 1024, 1 << 24
 
 
 def ask(units: DataFrame, key: str, prompt: str, build: Callable[[], Answerer], max_workers: int = 3, give_up: int = 0) -> DataFrame:
@@ -37,7 +38,9 @@ def ask(units: DataFrame, key: str, prompt: str, build: Callable[[], Answerer],
 
     Status is ok, error, or skip once no endpoint is left. The workers of a task are threads that share its
     answerer, so its breakers count for all of them, and a stop reaches all of them: calls that have begun end,
-    no other begins; `give_up` errors in a row (0: never) stop a task too. Rows stream; no more than two calls a worker are held. Answers should be appended to a table
+    no other begins; `give_up` errors in a row (0: never) stop a task too. Rows stream: the prompts and
+    answers of CALLS calls are held. The tasks are as few as the workers ask for, so deal answers out again
+    before more work on them. Answers should be appended to a table
     keyed by `key` and later runs anti-join it: a task that runs again may call again, but no answer is stored
     twice. Speculation must be off.
     """
@@ -69,15 +72,32 @@ def ask(units: DataFrame, key: str, prompt: str, build: Callable[[], Answerer],
                     count(True)
             return k, text, status, time.monotonic() - began, error
 
+        def work(todo):
+            out = []
+            while True:
+                with lock:
+                    row = next(todo, None)
+                if row is None:
+                    return out
+                out.append((row[0], *one(*row[1])))
+
         with ThreadPoolExecutor(threads) as pool:
-            waiting: deque = deque()
-            for pdf in batches:
-                for k, p in zip(pdf[key], pdf[prompt], strict=True):
-                    waiting.append(pool.submit(one, k, p))
-                    if len(waiting) >= 2 * threads:
-                        yield rows([waiting.popleft().result()])
-            while waiting:
-                yield rows([waiting.popleft().result()])
+            for part in parts(batches):
+                todo = iter(list(enumerate(part)))
+                found = [x for f in [pool.submit(work, todo) for _ in range(threads)] for x in f.result()]
+                yield rows([x[1:] for x in sorted(found, key=lambda x: x[0])])
+
+    def parts(batches):
+        held, letters = [], 0
+        for pdf in batches:
+            for k, p in zip(pdf[key], pdf[prompt], strict=True):
+                held.append((k, p))
+                letters += len(p or "")
+                if len(held) >= CALLS or letters >= LETTERS:
+                    yield held
+                    held, letters = [], 0
+        if held:
+            yield held
 
     def rows(found):
         return pd.DataFrame(found, columns=[key, "answer", "status", "duration_s", "error"])

@@ -2,6 +2,7 @@ import json
 import threading
 import urllib.error
 
+import pandas as pd
 import pytest
 
 from quillstone import config as C
@@ -244,6 +245,26 @@ def test_ask_over_rows(spark):
     assert set(statuses) == {"skip"}
 
 
+def test_answers_are_sent_on_many_at_once(spark, monkeypatch):
+    """One answer a batch cost more than a quick call itself."""
+    units, taken = spark.createDataFrame([(1, "p")], "k int, prompt string"), []
+    monkeypatch.setattr(type(units), "mapInPandas", lambda self, run, schema: taken.append(run) or self)
+    ask(units, "k", "prompt", lambda: str.upper)
+    many = pd.DataFrame({"k": range(5000), "prompt": [f"p{k}" for k in range(5000)]})
+    sizes = [len(x) for x in taken[0](iter([many[:3000], many[3000:]]))]
+    assert sum(sizes) == 5000 and len(sizes) == 5
+    large = pd.DataFrame({"k": range(20), "prompt": ["p" * (1 << 22)] * 20})
+    assert [x["k"].tolist() for x in taken[0](iter([large]))] == [list(range(k, k + 4)) for k in range(0, 20, 4)]
+    assert list(taken[0](iter([]))) == []
+
+
+def test_answers_are_dealt_out_for_parsing(spark, sf):
+    from quillstone.plans.catalog import QUERIES
+
+    plan = QUERIES["model_extract_fake"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan[: plan.index("MapInPandas")]
+
+
 def test_a_stop_reaches_all_workers(spark):
     units = spark.createDataFrame([(k, f"p{k}") for k in range(200)], "k int, prompt string").coalesce(1)
 
