@@ -6,12 +6,14 @@ sizes and keys travel, never texts. Groups run side by side; within one group th
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillstone.functions.text import SPACE
+
 
 def fold(df: DataFrame, group: list[str], order: list, start: Callable[[], object], step: Callable[[object, dict], object], fields: dict[str, str], names: list[str]) -> DataFrame:
     """Adds the columns `names` (typed by `fields`): step(state, row) gives their values row by row, in order."""
@@ -72,60 +74,71 @@ def assign_volumes(units: DataFrame, max_bytes: int, order: list[str], size: str
     return fold(units.join(total, group), [group], order, start, step, {"volume": "int"}, ["volume"]).drop("whole")
 
 
+#: Kinds of pieces: a paragraph, the first line of an over-long paragraph, a later line.
+PARAGRAPH, FIRST, LINE = 0, 1, 2
+
+
+def chunk_starts(sizes: Iterable[int], kinds: Iterable[int], max_bytes: int) -> list[int]:
+    """Which pieces of a text, counted from 1, begin a chunk; a paragraph counts 2 bytes more, a line 1."""
+    starts: list[int] = []
+    held, used = False, 0
+    for k, (size, kind) in enumerate(zip(sizes, kinds, strict=True), 1):
+        alone = kind != PARAGRAPH and size > max_bytes
+        over = used + size + (2 if kind == PARAGRAPH else 1) > max_bytes
+        if not held or alone or kind == FIRST or over:
+            starts.append(k)
+            used = 0
+        held = not alone
+        if held:
+            used += size + (2 if kind == PARAGRAPH else 1)
+    return starts
+
+
 def split_text(text: str, max_bytes: int) -> list[str]:
     """Chunks of a text at blank lines, over-long paragraphs at line feeds; an over-long line is a chunk alone.
 
-    All pieces of a chunk are joined by blank lines, lines too; a paragraph counts 2 bytes more, a line 1.
+    All pieces of a chunk are joined by blank lines, lines too.
     """
     import re
 
     if len(text.encode()) <= max_bytes:
         return [text]
-    chunks: list[str] = []
-    held: list[str] = []
-    used = 0
-
-    def close():
-        nonlocal used
-        if held:
-            chunks.append("\n\n".join(held))
-            held.clear()
-        used = 0
-
+    pieces: list[tuple[str, int]] = []
     for paragraph in re.split(r"\n\s*\n", text):
-        size = len(paragraph.encode())
-        if held and used + size + 2 > max_bytes:
-            close()
-        if size <= max_bytes:
-            held.append(paragraph)
-            used += size + 2
-            continue
-        for line in paragraph.split("\n"):
-            size = len(line.encode())
-            if size > max_bytes:
-                close()
-                chunks.append(line)
-                continue
-            if used + size + 1 > max_bytes:
-                close()
-            held.append(line)
-            used += size + 1
-    close()
-    return chunks or [text]
+        if len(paragraph.encode()) <= max_bytes:
+            pieces.append((paragraph, PARAGRAPH))
+        else:
+            pieces += [(line, LINE if k else FIRST) for k, line in enumerate(paragraph.split("\n"))]
+    starts = chunk_starts([len(t.encode()) for t, _ in pieces], [kind for _, kind in pieces], max_bytes)
+    return ["\n\n".join(t for t, _ in pieces[a - 1 : b - 1]) for a, b in zip(starts, [*starts[1:], len(pieces) + 1], strict=True)]
 
 
 def split_large(texts: DataFrame, key: str, text: str, max_kb: float) -> DataFrame:
-    """(key, chunk_index, chunk_total, chunk): rows at or under the limit are one chunk and never leave the JVM."""
+    """(key, chunk_index, chunk_total, chunk) as split_text cuts them; rows at or under the limit are one chunk.
+
+    Texts never leave the JVM: Python is sent the sizes of a text's pieces (four times the size, plus the kind).
+    """
     limit = int(max_kb * 1024)
 
-    @F.pandas_udf("array<string>")
-    def split(c: pd.Series) -> pd.Series:
-        return c.map(lambda t: split_text(t, limit))
+    @F.pandas_udf("array<int>")
+    def starts(c: pd.Series) -> pd.Series:
+        return c.map(lambda x: chunk_starts((x >> 2).tolist(), (x & 3).tolist(), limit))
 
     src = texts.select(key, F.coalesce(F.col(text), F.lit("")).alias("t"))
     small = src.where(F.octet_length("t") <= limit).select(key, F.lit(1).alias("chunk_index"), F.lit(1).alias("chunk_total"), F.col("t").alias("chunk"))
-    large = src.where(F.octet_length("t") > limit).select(key, split("t").alias("c"))
-    large = large.select(key, F.size("c").alias("chunk_total"), F.posexplode("c").alias("i", "chunk")).select(key, (F.col("i") + 1).alias("chunk_index"), "chunk_total", "chunk")
+
+    def piece(t: Column, kind: Column | int) -> Column:
+        return F.struct(t.alias("t"), (F.octet_length(t).cast("long") * 4 + kind).alias("size"))
+
+    def pieces(t: Column) -> Column:
+        lines = F.transform(F.split(t, "\n"), lambda x, k: piece(x, F.when(k == 0, FIRST).otherwise(LINE)))
+        return F.when(F.octet_length(t) <= limit, F.array(piece(t, F.lit(PARAGRAPH)))).otherwise(lines)
+
+    large = src.where(F.octet_length("t") > limit).select(key, F.flatten(F.transform(F.split("t", rf"\n{SPACE}*\n"), pieces)).alias("p"))
+    large = large.withColumn("s", starts(F.col("p.size")))
+    end = lambda k: F.coalesce(F.get("s", k + 1), F.size("p") + 1)
+    chunks = F.transform("s", lambda s, k: F.array_join(F.slice(F.col("p.t"), s, end(k) - s), "\n\n"))
+    large = large.select(key, F.size("s").alias("chunk_total"), F.posexplode(chunks).alias("i", "chunk")).select(key, (F.col("i") + 1).alias("chunk_index"), "chunk_total", "chunk")
     return small.unionByName(large)
 
 

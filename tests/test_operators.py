@@ -177,3 +177,14 @@ def test_units_with_odd_line_ends(spark):
     texts = {"a": "\r## [t][P1] one\r\rx\r\n\r\n## two\n　\x1c\r", "b": "\n\n## ## no\n## yes", "c": "##　no\n## a"}
     got = [(r.file_name, r.unit_pos, r.body) for r in units.parse_units(spark.createDataFrame(list(texts.items()), "file_name string, text string")).orderBy("file_name", "unit_pos").collect()]
     assert got == [("a", 1, "## [t][P1] one\n\nx"), ("a", 2, "## two"), ("b", 0, "## ## no"), ("b", 1, "## yes"), ("c", 1, "## a")]
+
+
+def test_split_large_equals_split_text(spark):
+    """In the JVM, by sizes alone: Python is sent no text."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(["a", "é", "日本", "x" * 9, "\n", "\n\n", "\n \u3000\x1c\n", "\r\n", "\x85", " "]) for _ in range(rng.randint(0, 60))) for _ in range(300)] + ["\n\n" * 9, "a\n" * 30]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    got = folds.split_large(df, "k", "text", 16 / 1024)
+    assert "starts(p" in (plan := got._jdf.queryExecution().executedPlan().toString()) and "starts(t" not in plan
+    want = {(k, i + 1): (len(c), t) for k, text in enumerate(texts) if (c := split_text(text, 16)) for i, t in enumerate(c)}
+    assert {(r.k, r.chunk_index): (r.chunk_total, r.chunk) for r in got.collect()} == want
