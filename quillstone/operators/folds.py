@@ -163,14 +163,19 @@ def merge_adjacent(sizes: list[float], limit: float) -> list[list[int]]:
 def merge_reduce(parts: DataFrame, group: str, order: list[str], size: str, limit: float) -> DataFrame:
     """(group, merged, position...): which neighbours a pairwise merge-reduce of a group's parts joins.
 
-    A group is one topic's model answers, a handful of rows; only their sizes are gathered.
+    A group is one topic's model answers, a handful of rows; Python is sent their sizes alone, many groups at once.
     """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        groups = merge_adjacent(pdf[size].tolist(), limit)
-        which = {i: g for g, members in enumerate(groups) for i in members}
-        return pdf.assign(merged=[which[i] for i in range(len(pdf))])
-
-    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema.fields] + ["merged int"])
-    return parts.groupBy(group).applyInPandas(run, ddl)
+    @F.pandas_udf("array<int>")
+    def merged(sizes: pd.Series) -> pd.Series:
+        def one(x):
+            groups = merge_adjacent(x.tolist(), limit)
+            return [k for k, members in enumerate(groups) for _ in members]
+
+        return sizes.map(one)
+
+    rest = [c for c in parts.columns if c != group]
+    gathered = parts.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(*[x for c in order for x in (F.col(c).isNull().alias(f"{c} last"), F.col(c))], *[c for c in rest if c not in order]))).alias("rows"))
+    found = gathered.withColumn("merged", merged(F.col(f"rows.{size}")))
+    each = found.select(group, F.explode(F.arrays_zip("rows", "merged")).alias("z"))
+    return each.select(*[F.col(group) if c == group else F.col(f"z.rows.{c}").alias(c) for c in parts.columns], F.col("z.merged").alias("merged"))

@@ -21,7 +21,8 @@ def resolve_reference(units: DataFrame, judgments: DataFrame, order: list[str])
 
     A merge replaces the unit of the smaller fingerprint (tag, priority and title from the side of smaller
     priority number, the last judgment winning) and drops the other. A DUPLICATE drops its fingerprint unless
-    that one took part in a merge; merges are read first, whatever the order of judgments.
+    that one took part in a merge; merges are read first, whatever the order of judgments. Units may come without
+    bodies where nobody wants them.
     """
     merges = _merges(judgments)
     sides = merges.select("lo", "hi", "ord", "merged_text", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("fingerprint"))
@@ -36,7 +37,7 @@ def resolve_reference(units: DataFrame, judgments: DataFrame, order: list[str])
         F.when(new, F.col("m.tag")).otherwise(F.col("tag")).alias("tag"),
         F.when(new, F.col("m.priority")).otherwise(F.col("priority")).alias("priority"),
         F.when(new, F.col("m.title")).otherwise(F.col("title")).alias("title"),
-        F.coalesce("merged_text", "body").alias("body"),
+        *([F.coalesce("merged_text", "body").alias("body")] if "body" in units.columns else []),
         F.when(new, T.fingerprint(F.col("merged_text"))).otherwise(F.col("fingerprint")).alias("fingerprint"),
     )
 
@@ -59,4 +60,5 @@ def resolve_safe(units: DataFrame, judgments: DataFrame, order: list[str]) -> Da
     texts = _merges(judgments).join(parts, F.col("lo") == F.col("fp")).groupBy("root").agg(F.max_by("merged_text", "ord").alias("merged_text"))
     out = member.join(keep, ["root", "fingerprint"], "left_semi").join(texts, "root", "left")
     new = F.col("merged_text").isNotNull()
-    return out.withColumn("fingerprint", F.when(new, T.fingerprint(F.col("merged_text"))).otherwise(F.col("fingerprint"))).withColumn("body", F.coalesce("merged_text", "body")).select(*units.columns)
+    out = out.withColumn("fingerprint", F.when(new, T.fingerprint(F.col("merged_text"))).otherwise(F.col("fingerprint")))
+    return (out.withColumn("body", F.coalesce("merged_text", "body")) if "body" in units.columns else out).select(*units.columns)

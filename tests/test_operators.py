@@ -2,6 +2,8 @@ import hashlib
 import random
 
 
+from pyspark.sql import functions as F
+
 from quillstone.operators import folds, incremental, resolve, similarity, topics, units, verdicts
 from quillstone.operators.folds import split_text
 
@@ -188,3 +190,31 @@ def test_split_large_equals_split_text(spark):
     assert "starts(p" in (plan := got._jdf.queryExecution().executedPlan().toString()) and "starts(t" not in plan
     want = {(k, i + 1): (len(c), t) for k, text in enumerate(texts) if (c := split_text(text, 16)) for i, t in enumerate(c)}
     assert {(r.k, r.chunk_index): (r.chunk_total, r.chunk) for r in got.collect()} == want
+
+
+def test_joins_of_units_parse_no_text_again(spark, sf):
+    """Texts are parsed once, when the keys are settled; before, each use of the units in a join parsed them all."""
+    from quillstone.plans.catalog import QUERIES
+
+    for name in ("resolve_reference", "resolve_safe", "topic_summary_after_dedup", "changelog_lines", "volume_packing", "verdict_prompts"):
+        assert "documents.parquet" not in QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString(), name
+
+
+def test_merge_reduce_sends_sizes_of_many_groups(spark):
+    rows = [("g", 2, 1.0), ("g", 1, 1.0), ("g", None, 5.0), ("g", 3, 1.0), (None, 1, 1.0), (None, 2, 1.0), ("h", 1, 9.0)]
+    out = folds.merge_reduce(spark.createDataFrame(rows, "g string, turn int, kb double").repartition(3), "g", ["turn"], "kb", 3.0)
+    assert "FlatMapGroups" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {(r.g, r.turn): r.merged for r in out.collect()} == {("g", 1): 0, ("g", 2): 0, ("g", 3): 0, ("g", None): 1, (None, 1): 0, (None, 2): 0, ("h", 1): 0}
+
+
+def test_gram_counts_are_the_sizes_of_grams(spark):
+    df = spark.createDataFrame([(1, "abcabc"), (2, "a b"), (3, None), (4, "# 日本語テ")], "part int, body string")
+    got = {r.part: r["size"] for r in similarity.gram_counts(df).collect()}
+    assert got == {r.part: r["size"] for r in similarity.with_grams(df).collect()} == {1: 3, 4: 2}
+
+
+def test_cross_pairs_find_rows_with_null_places(spark):
+    rows = [(t, k, None if k == 1 else "f", f"same text {k}", k != 2) for t in "xy" for k in range(120)]
+    df = spark.createDataFrame(rows, "topic string, part int, file string, body string, is_new boolean").withColumn("id", F.concat("topic", F.col("part").cast("string")))
+    got = {(r.a, r.b) for r in similarity.jaccard_cross(df.withColumn("seen", F.col("topic")), 0.99, ["file", "part"], ["seen"], key="id").collect()}
+    assert got == {(f"x{k}", f"y{k}") for k in [0, 1, *range(3, 51)]}
