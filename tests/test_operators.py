@@ -218,3 +218,17 @@ def test_cross_pairs_find_rows_with_null_places(spark):
     df = spark.createDataFrame(rows, "topic string, part int, file string, body string, is_new boolean").withColumn("id", F.concat("topic", F.col("part").cast("string")))
     got = {(r.a, r.b) for r in similarity.jaccard_cross(df.withColumn("seen", F.col("topic")), 0.99, ["file", "part"], ["seen"], key="id").collect()}
     assert got == {(f"x{k}", f"y{k}") for k in [0, 1, *range(3, 51)]}
+
+
+def test_jaccard_pairs_of_a_pair_of_blocks(monkeypatch):
+    """Tiles and the bound on rare n-grams lose nothing; a row is sent for few blocks."""
+    rng = random.Random(9)
+    sets = [similarity.np.array(sorted(rng.sample(range(60), rng.randint(1, 40)))) for _ in range(80)]
+    sets += [similarity.np.append(s, 1000 + k) for k, s in enumerate(sets[:40])]
+    for dense in (0, 8, 6144):
+        monkeypatch.setattr(similarity, "DENSE", dense)
+        for a, b, same in ((sets, sets, True), (sets[:50], sets[50:], False)):
+            p, q, sim = similarity.jaccard_pairs(a, b, same, 0.7, 7)
+            got = {((min(x, y), max(x, y)) if same else (x, y)): s for x, y, s in zip(p.tolist(), q.tolist(), sim.tolist(), strict=True)}
+            js = {(x, y): len({*a[x].tolist()} & {*b[y].tolist()}) / len({*a[x].tolist()} | {*b[y].tolist()}) for x in range(len(a)) for y in range(len(b)) if not same or x < y}
+            assert len(got) == len(p) and got == {k: s for k, s in js.items() if s >= 0.7} and got
