@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from quillstone.functions import sha256
 from quillstone.operators import folds, incremental, resolve, similarity, topics, units, verdicts
 from quillstone.operators.folds import split_text
 
@@ -232,3 +233,54 @@ def test_jaccard_pairs_of_a_pair_of_blocks(monkeypatch):
             got = {((min(x, y), max(x, y)) if same else (x, y)): s for x, y, s in zip(p.tolist(), q.tolist(), sim.tolist(), strict=True)}
             js = {(x, y): len({*a[x].tolist()} & {*b[y].tolist()}) / len({*a[x].tolist()} | {*b[y].tolist()}) for x in range(len(a)) for y in range(len(b)) if not same or x < y}
             assert len(got) == len(p) and got == {k: s for k, s in js.items() if s >= 0.7} and got
+
+
+def most_rows_read(spark, run):
+    """(result of run, most rows that one of its tasks read from a shuffle)."""
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+    listed = lambda: store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    stages = lambda: {(s := x.apply(k)).stageId(): s.attemptId() for x in [listed()] for k in range(x.size())}
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    old = stages()
+    out = run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    most = 0
+    for stage, attempt in stages().items():
+        if stage not in old:
+            tasks = store.taskList(stage, attempt, 10000)
+            for k in range(tasks.size()):
+                if (m := tasks.apply(k).taskMetrics()).isDefined():
+                    most = max(most, m.get().shuffleReadMetrics().recordsRead())
+    return out, most
+
+
+def test_a_group_is_digested_in_slices(spark, monkeypatch):
+    """A slice goes on with the digest of the one before it; before, one task read a whole group."""
+    monkeypatch.setattr(topics, "SLICE", 400, raising=False)
+    rng = random.Random(4)
+    rows = [(t, k, rng.choice(["é" * rng.randint(0, 40), "x" * rng.randint(0, 70), None])) for t, n in (("a", 300), ("b", 1), ("c", 4), ("d", 200), (None, 90)) for k in range(n)]
+    df = spark.createDataFrame(rng.sample(rows, len(rows)), "topic string, place int, body string").repartition(5)
+    got, most = most_rows_read(spark, lambda: {r.topic: (r.units, r.fingerprint) for r in topics.joined_digests(df, ["place"]).collect()})
+    assert got == {t: (len(b), hashlib.sha256("".join(b).encode()).hexdigest()[:16]) for t in "abcd" for b in [[x[2] or "" for x in rows if x[0] == t]]} | {
+        None: (90, hashlib.sha256("".join(x[2] or "" for x in rows if x[0] is None).encode()).hexdigest()[:16])
+    }
+    assert most < 150
+    assert topics.joined_digests(df.limit(0), ["place"]).collect() == []
+
+
+def test_sha256_is_taken_up_again(monkeypatch):
+    """In any pieces, by OpenSSL and without it."""
+    rng = random.Random(6)
+    assert sha256._library()
+    for size in (0, 1, 55, 56, 63, 64, 65, 119, 120, 1000):
+        data = rng.randbytes(size)
+        for kind in (sha256.Native, sha256.Plain):
+            state, k = sha256.start(), 0
+            while k < size:
+                digest, step = kind(state), rng.randint(1, 90)
+                digest.update(data[k : k + step])
+                state, k = digest.state(), k + step
+            assert sha256.hexdigest(state) == hashlib.sha256(data).hexdigest()
+    assert sha256.Native((sha256.start()[0], 1 << 33, b"")).state()[1] == 1 << 33  # more bits than 32 hold
+    monkeypatch.setattr(sha256, "_library", lambda: None)
+    assert isinstance(sha256.resumed(sha256.start()), sha256.Plain)
