@@ -235,8 +235,8 @@ def test_jaccard_pairs_of_a_pair_of_blocks(monkeypatch):
             assert len(got) == len(p) and got == {k: s for k, s in js.items() if s >= 0.7} and got
 
 
-def most_rows_read(spark, run):
-    """(result of run, most rows that one of its tasks read from a shuffle)."""
+def most_rows_read(spark, run, sent=None):
+    """(result of run, most rows that one of its tasks read from a shuffle); adds to sent the bytes each sent to the driver."""
     store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
     listed = lambda: store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
     stages = lambda: {(s := x.apply(k)).stageId(): s.attemptId() for x in [listed()] for k in range(x.size())}
@@ -251,6 +251,8 @@ def most_rows_read(spark, run):
             for k in range(tasks.size()):
                 if (m := tasks.apply(k).taskMetrics()).isDefined():
                     most = max(most, m.get().shuffleReadMetrics().recordsRead())
+                    if sent is not None:
+                        sent.append(m.get().resultSize())
     return out, most
 
 
@@ -268,6 +270,21 @@ def test_a_group_is_digested_in_slices(spark, monkeypatch):
     assert topics.joined_digests(df.limit(0), ["place"]).collect() == []
 
 
+def test_sorted_bodies_are_dealt_by_their_heads(spark, monkeypatch):
+    """The driver samples heads, not bodies, to cut slices; bodies of one head are sorted whole, ends and all."""
+    monkeypatch.setattr(topics, "SLICE", 1 << 17, raising=False)
+    monkeypatch.setattr(topics, "HEAD", 8, raising=False)
+    rng = random.Random(8)
+    heads = ["", "a", "é", "same head", "\U0001f600" * 9, "\uffee" * 9, "zz"]
+    rows = [("t", rng.choice(heads) + rng.choice(["", "x", "é"]) * rng.choice([0, 3, 9000]) + str(rng.randrange(40))) for _ in range(400)]
+    sent = []
+    df = spark.createDataFrame(rows, "topic string, body string").repartition(4)
+    whole = sum(len(b.encode()) for _, b in rows)
+    got, most = most_rows_read(spark, lambda: topics.joined_digests(df, ["body"]).collect(), sent)
+    assert [(r.units, r.fingerprint) for r in got] == [(400, hashlib.sha256(b"".join(sorted(b.encode() for _, b in rows))).hexdigest()[:16])]
+    assert most < 400 and max(sent) < whole / 20
+
+
 def test_sha256_is_taken_up_again(monkeypatch):
     """In any pieces, by OpenSSL and without it."""
     rng = random.Random(6)
